@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crosscheck.oracle_parts import (
-    ALERT_LOADED, ALERT_PARTS, ALERT_PROFILE, ENRICHED, LABELLED, MERCH_PARTS, SEVERITY_RANK,
+    ALERT_PARTS, ALERT_PROFILE, ENRICHED, LABELLED, MERCH_PARTS, SEVERITY_RANK,
     TXN_PARTS, TXN_PROFILE, history, latest,
 )
 from crosscheck.registry import query
 from crosscheck.views import Views, duckdb_with
 from riskloom.functions import privacy, risk, text
 from riskloom.operators import audit, contract, history as hist, joins, profiles, rules
-from riskloom.schemas import CONTRACTS, conform, struct
+from riskloom.schemas import CONTRACTS, struct
 from riskloom.sources.events import parse_events
-from riskloom.sources.registry import CURRENCIES, SEVERITIES, SOURCES
+from riskloom.sources.registry import SEVERITIES, SOURCES
 
 NTZ = "timestamp_ntz"
 # splits the customer feed into what a history already holds and what arrives next
@@ -711,8 +711,8 @@ FROM (SELECT (SELECT count(*) FROM txn_raw) AS n, (SELECT count(*) FROM txn_clea
 def _(v):
     clean, rejected = rules.split_transactions(v.txn_raw, timestamp_type=NTZ)
     return audit.reconcile_balanced(
-        v.txn_raw, clean, rejected, hist.dedup_any(clean, ["transaction_id"]),
-        "transactions", "bronze_to_silver")
+        v.txn_raw, rules.any_broken(rules.transaction_rules(NTZ)), rejected,
+        hist.dedup_any(clean, ["transaction_id"]), "transactions", "bronze_to_silver")
 
 
 @query("group_table_recon", duckdb_with("txn", "fx", enriched=ENRICHED, labelled=LABELLED) + """

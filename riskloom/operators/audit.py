@@ -59,16 +59,17 @@ def reconcile_all(checks: list[tuple[DataFrame, DataFrame, str, str]]) -> DataFr
 
 
 def reconcile_balanced(
-    source: DataFrame, clean: DataFrame, rejected: DataFrame, deduplicated: DataFrame, name: str,
-    layer: str,
+    source: DataFrame, broken: Column, rejected: DataFrame, kept: DataFrame, name: str, layer: str,
 ) -> DataFrame:
     """Nothing lost: source = kept + rejected + duplicates.
 
-    `clean` are the good rows before deduplication and `deduplicated` those after it.
+    One pass over the source counts its rows and the good ones among them (`broken` is the
+    condition its split used); `rejected` and `kept` are the tables the split wrote, whose
+    counts Spark takes from the file footers.
     """
     counts = _sum_counts(
-        row_count(source, "source_count"), row_count(clean, "clean_count"),
-        row_count(rejected, "rejected_count"), row_count(deduplicated, "kept_count"))
+        source.agg(F.count("*").alias("source_count"), F.count_if(~broken).alias("clean_count")),
+        row_count(rejected, "rejected_count"), row_count(kept, "kept_count"))
     counts = counts.withColumn("duplicate_count", F.col("clean_count") - F.col("kept_count"))
     balance = (F.col("source_count") - F.col("kept_count") - F.col("rejected_count")
                - F.col("duplicate_count"))
@@ -76,7 +77,8 @@ def reconcile_balanced(
         F.lit(name).alias("pipeline_name"), F.lit(layer).alias("layer"),
         "source_count", "kept_count", "rejected_count", "duplicate_count",
         balance.alias("difference"),
-        F.when(balance == 0, "PASSED").otherwise("FAILED").alias("reconciliation_status"))
+        F.when((balance == 0) & (F.col("duplicate_count") >= 0), "PASSED").otherwise("FAILED")
+         .alias("reconciliation_status"))
 
 
 def reconcile_groups(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.bounded import broadcast_if_small
+from riskloom.operators.bounded import BROADCAST_BYTES, broadcast_if_small, measured_bytes
 
 VALIDITY = ["valid_from", "valid_to", "is_current"]
 
@@ -46,9 +46,10 @@ def merge_type1(
     scanned but not shuffled.
     """
     keys = list(keys)
-    updates = dedup_latest(_keyed(source, keys), keys, order_by).select(
+    source = _keyed(source, keys)
+    updates = dedup_latest(source, keys, order_by).select(
         *[c for c in source.columns if c in target.columns])
-    small = broadcast_if_small(updates.select(*keys))
+    small = broadcast_if_small(source.select(*keys).distinct())
     untouched = target.join(small, keys, "left_anti")
     kept = [c for c in target.columns if c not in updates.columns]
     if kept:
@@ -84,13 +85,15 @@ def merge_type2(
     keys = list(keys)
     payload = [c for c in source.columns if c != effective_date and c not in order_by]
     stamps = [c for c in ("created_at", "updated_at") if c in target.columns]
-    latest = dedup_latest(_keyed(source, keys), keys, [effective_date, *order_by])
+    source = _keyed(source, keys)
+    latest = dedup_latest(source, keys, [effective_date, *order_by])
 
     history = target.filter(~F.coalesce("is_current", F.lit(False)))
     current = target.filter("is_current")
-    change = broadcast_if_small(latest.select(
-        *keys,
-        F.struct(*payload, effective_date).alias("new")))
+    change = latest.select(*keys, F.struct(*payload, effective_date).alias("new"))
+    # the source before deduplication bounds the size from above and needs no shuffle
+    if measured_bytes(source) <= BROADCAST_BYTES:
+        change = F.broadcast(change)
 
     paired = current.select(*keys, F.struct(*target.columns).alias("old")).join(
         change, keys, "left")
@@ -174,17 +177,20 @@ def scd2_current(history: DataFrame) -> DataFrame:
 def scd2_violations(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Broken history rules per key: current rows other than one, overlaps, backward intervals."""
     keys = list(keys)
+    # equal rows first become one with a count, so a key holds distinct date pairs only
+    spans = history.groupBy(*keys, "valid_from", "valid_to", "is_current").agg(
+        F.count("*").alias("_n"))
     timeline = Window.partitionBy(*keys).orderBy("valid_from", F.col("valid_to").asc_nulls_last())
-    per_row = history.withColumn("_next", F.lead("valid_from").over(timeline)).select(
-        *keys,
-        F.col("is_current").cast("int").alias("_current"),
-        F.coalesce((F.col("valid_to") > F.col("_next"))
-                   | (F.col("valid_to").isNull() & F.col("_next").isNotNull()),
-                   F.lit(False)).cast("int").alias("_overlap"),
-        F.coalesce(F.col("valid_to") < F.col("valid_from"), F.lit(False)).cast("int")
-         .alias("_backward"))
-    per_key = per_row.groupBy(*keys).agg(
-        F.sum("_current").alias("current_rows"),
-        F.sum("_overlap").alias("overlapping_rows"),
-        F.sum("_backward").alias("backward_intervals"))
+
+    def reaches(date: str) -> Column:
+        """The row runs past the start of the one after it."""
+        later = F.col("valid_to").isNull() | (F.col("valid_to") > F.col(date))
+        return F.when(F.col(date).isNotNull() & later, 1).otherwise(0)
+
+    per_key = spans.withColumn("_next", F.lead("valid_from").over(timeline)).groupBy(*keys).agg(
+        F.sum(F.col("_n") * F.col("is_current").cast("int")).alias("current_rows"),
+        F.sum(reaches("_next") + (F.col("_n") - 1) * reaches("valid_from"))
+         .alias("overlapping_rows"),
+        F.sum(F.when(F.col("valid_to") < F.col("valid_from"), F.col("_n")).otherwise(0))
+         .alias("backward_intervals"))
     return per_key.filter("current_rows <> 1 OR overlapping_rows > 0 OR backward_intervals > 0")

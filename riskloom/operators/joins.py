@@ -13,8 +13,8 @@ from riskloom.operators.bounded import BROADCAST_BYTES, broadcast_if_small
 
 def daily_rates(rates: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
     """One rate per currency and date; of several, the greatest by `prefer`, then by rate."""
-    return rates.groupBy("currency", "rate_date").agg(
-        F.max_by("rate_to_cad", F.struct(*prefer, "rate_to_cad")).alias("rate_to_cad"))
+    best = F.max_by("rate_to_cad", F.struct(*prefer, "rate_to_cad")) if prefer else F.max("rate_to_cad")
+    return rates.groupBy("currency", "rate_date").agg(best.alias("rate_to_cad"))
 
 
 def carried_rates(rates: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,8 +100,9 @@ def interval_matches(
 
 
 def _bucketed(left: DataFrame, key: str, left_ts: str, seconds: int) -> DataFrame:
-    return left.withColumn("_bucket", _bucket(left_ts, seconds)).filter(
-        F.col(key).isNotNull() & F.col("_bucket").isNotNull())
+    # the same filters in both branches of `interval_join` let Spark reuse one exchange
+    return left.filter(F.col(key).isNotNull() & F.col(left_ts).isNotNull()).withColumn(
+        "_bucket", _bucket(left_ts, seconds)).filter(F.col("_bucket").isNotNull())
 
 
 def _with_match_flag(
@@ -149,7 +150,7 @@ def interval_join(
     alone = _with_match_flag(
         _bucketed(left, key, left_ts, seconds), right, key, left_ts, right_ts, seconds
     ).filter(~F.col("_matched")).drop("_matched", "_bucket")
-    unkeyed = left.filter(F.col(key).isNull() | _bucket(left_ts, seconds).isNull())
+    unkeyed = left.filter(F.col(key).isNull() | F.col(left_ts).isNull())
     return pairs.unionByName(
         alone.unionByName(unkeyed), allowMissingColumns=True
     ).select(*left.columns, *[c for c in right.columns if c != key])

@@ -39,7 +39,9 @@ class Lakehouse:
     def create(self, *tables: str) -> None:
         """Create the layers and the given tables (all of them by default) if absent."""
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}`")
+            self.spark.sql(
+                f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{layer}` "
+                f"LOCATION '{self.root}/{layer}'")
         for table in tables or DDL:
             columns = ", ".join(
                 f"`{f.name}` {f.dataType.simpleString()}" for f in schema_of(table).fields)
@@ -52,7 +54,8 @@ class Lakehouse:
                 f"USING {self.fmt} {partition} LOCATION '{self._fresh(table)}'")
 
     def _fresh(self, table: str) -> str:
-        return f"{self.root}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+        layer, short = table.split(".")
+        return f"{self.root}/{layer}/{short}-{uuid.uuid4().hex}"
 
     def location(self, table: str) -> str:
         detail = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
@@ -78,15 +81,11 @@ class Lakehouse:
             rows.write.insertInto(self.name(table))
             return
         columns = ", ".join(f"`{c}`" for c in rows.columns)
-        view = f"append_{uuid.uuid4().hex}"
-        rows.createOrReplaceTempView(view)
-        try:
-            self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name(table)} "
-                f"PARTITION (`{BATCH}` = '{batch or uuid.uuid4().hex}') "
-                f"SELECT {columns} FROM {view}")
-        finally:
-            self.spark.catalog.dropTempView(view)
+        # the session of the frame: micro-batches belong to their query's own session
+        rows.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {self.name(table)} "
+            f"PARTITION (`{BATCH}` = '{batch or uuid.uuid4().hex}') "
+            f"SELECT {columns} FROM {{rows}}", rows=rows)
 
     def batch(self, table: str, batch: str) -> DataFrame:
         """Rows of one appended batch; partition pruning reads nothing else."""
