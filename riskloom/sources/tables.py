@@ -3,15 +3,17 @@
 Plain file tables have no transactions. Two conventions give the writes the properties the
 jobs need: a rebuild writes a new folder and then points the table at it, so readers never
 see a half-written table and a table may be rebuilt from itself; and appends from
-micro-batches go to one partition per batch, so a replayed batch replaces its own rows.
+micro-batches go to one partition per batch, so a replayed batch replaces its own rows. The
+label of a batch names its checkpoint too (`batch_label`), so two queries never share one.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from riskloom.schemas import DDL, LAYERS, conform, schema_of
@@ -26,6 +28,11 @@ APPENDED = frozenset(
 )
 
 
+def batch_label(source: str, checkpoint: str, batch_id: int) -> str:
+    """Partition of one micro-batch: the same for a replay, different for another query."""
+    return f"{source}-{zlib.crc32(checkpoint.encode()):08x}-{batch_id:010d}"
+
+
 class Lakehouse:
     """The tables of one environment under one root folder."""
 
@@ -86,10 +93,18 @@ class Lakehouse:
             f"INSERT OVERWRITE TABLE {self.name(table)} "
             f"PARTITION (`{BATCH}` = '{batch or uuid.uuid4().hex}') "
             f"SELECT {columns} FROM {{rows}}", rows=rows)
+        self.spark.catalog.refreshTable(self.name(table))
 
     def batch(self, table: str, batch: str) -> DataFrame:
-        """Rows of one appended batch; partition pruning reads nothing else."""
-        return self.spark.table(self.name(table)).filter(F.col(BATCH) == batch).drop(BATCH)
+        """Rows of one appended batch, as they are on disk now; no other partition is listed."""
+        reader = self.spark.read.format(self.fmt).schema(schema_of(table))
+        try:
+            return reader.load(f"{self.location(table)}/{BATCH}={batch}")
+        except AnalysisException as error:
+            # overwriting a batch with no rows leaves no folder
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema_of(table))
 
     def rebuild(self, table: str, df: DataFrame) -> None:
         """Replace all rows of a table; `df` may read the table itself."""

@@ -41,14 +41,19 @@ def route_batches(
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: Trigger = DRAIN,
+    keep: bool = False,
 ) -> StreamingQuery:
     """Hand each micro-batch to `handle(batch, batch_id)`.
 
-    The batch is kept on the executors while the handler runs, so several writes read their
-    source once; a lost executor's part is read again. A batch may be handed over again after
-    a failure: handlers write under the batch id so that a replay replaces its first attempt.
+    With `keep` the batch stays on the executors while the handler runs, so that several
+    writes parse their source once; that pays for text sources. A columnar table is better
+    read again, only the needed columns each time. A batch may be handed over again after a
+    failure: handlers write under the batch id so that a replay replaces its first attempt.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
+        if not keep:
+            handle(batch, batch_id)
+            return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             handle(batch, batch_id)
