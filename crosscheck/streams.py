@@ -26,7 +26,7 @@ from riskloom.sources.events import parse_events, read_event_files
 from riskloom.sources.files import scan_csv
 from riskloom.sources.registry import SOURCES
 from riskloom.sources.tables import Lakehouse
-from riskloom.streaming.loads import load_files, transactions_to_silver
+from riskloom.streaming.loads import ingest_events, load_files, transactions_to_silver
 from riskloom.streaming.sinks import append_stream, append_to_table, finish, rows_dropped_late
 from riskloom.streaming.stateful import dedup_stream, interval_join_stream
 
@@ -195,11 +195,12 @@ def _(v):
 
 @query("stream_append_sink", duckdb_with("txn_raw") + f"SELECT {EVENTS_SQL} FROM txn_raw")
 def _(v):
-    lake, where = new_lake(v, "silver.transactions"), run_dir(v.spark, "events")
+    """Events into bronze, and bronze followed by a second stream into another table."""
+    lake, where = new_lake(v, "bronze.transactions_raw"), run_dir(v.spark, "events")
     land_events(v, f"{where}/landing")
-    table = f"`{lake.prefix}bronze`.`events`"
-    events = parse_events(read_event_files(v.spark, f"{where}/landing"))
-    finish(append_to_table(events, table, f"{where}/checkpoint"))
+    finish(ingest_events(lake, read_event_files(v.spark, f"{where}/landing"), f"{where}/cp1"))
+    table = f"`{lake.prefix}bronze`.`copied`"
+    finish(append_to_table(lake.stream("bronze.transactions_raw"), table, f"{where}/cp2"))
     return v.spark.table(table).select(*EVENT_COLUMNS)
 
 

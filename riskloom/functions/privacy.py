@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# column -> what to do with it; `hash` adds `<column>_hash` and leaves the column
+# fixed values: column -> what to do with it; `hash` adds `<column>_hash` and leaves the column
 CUSTOMER_POLICY = {"customer_id": "hash", "email": "email", "phone": "digits"}
 
 

@@ -114,6 +114,9 @@ def _domain(column: str, values: list[str], normalise: bool) -> str:
     return f"{subject} NOT IN ({', '.join(map(_literal, values))})"
 
 
+# fixed values: the labels of the rules below and their order
+
+
 def transaction_rules(timestamp_type: str = "timestamp", normalise: bool = True) -> list[Rule]:
     parsed = ("try_to_timestamp(transaction_timestamp)" if timestamp_type == "timestamp"
               else f"try_cast(transaction_timestamp AS {timestamp_type})")

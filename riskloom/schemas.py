@@ -105,7 +105,7 @@ FEED_DDL = {
     "transactions": _EVENT_TEXT,
 }
 
-# columns and types a batch must have before it may be loaded
+# fixed values: columns and types a batch must have before it may be loaded
 CONTRACTS = {
     "transactions": f"{_EVENT_TEXT}, ingestion_timestamp timestamp",
     "customers": f"{_CUSTOMER_TEXT}, {_LOAD}",

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from riskloom.schemas import CONTRACTS, FEED_DDL, struct
 
+# fixed values
 CURRENCIES = ["CAD", "USD", "EUR", "GBP"]
 SEVERITIES = ["LOW", "MEDIUM", "HIGH", "CRITICAL"]
 

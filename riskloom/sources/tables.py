@@ -108,6 +108,8 @@ class Lakehouse:
 
     def rebuild(self, table: str, df: DataFrame) -> None:
         """Replace all rows of a table; `df` may read the table itself."""
+        if table in APPENDED:
+            raise ValueError(f"{table} is fed by appends and is not rebuilt")
         path = self._fresh(table)
         conform(df, table).write.format(self.fmt).save(path)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")

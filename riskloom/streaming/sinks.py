@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -16,14 +16,14 @@ DRAIN: Trigger = {"availableNow": True}
 
 def append_stream(
     df: DataFrame, path: str, checkpoint: str, trigger: Trigger = DRAIN, fmt: str = "parquet",
-    name: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to a folder. The sink's log makes each micro-batch appear once, and
     readers of the folder see only finished batches."""
     writer = (df.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint).trigger(**trigger))
-    if name:
-        writer = writer.queryName(name)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return writer.start(path)
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from riskloom.operators import audit
 from riskloom.plans import gold, silver
 from riskloom.schemas import DDL, schema_of
-from riskloom.sources.events import parse_events, read_event_files
+from riskloom.sources.events import read_event_files
 from riskloom.sources.tables import Lakehouse
 from riskloom.streaming import loads
+from riskloom.streaming.sinks import finish
 
 CUSTOMERS = """customer_id,customer_name,customer_country,customer_risk_tier,kyc_status,effective_date
 C001,Ann,CA,LOW,VERIFIED,2026-01-01
@@ -56,8 +57,10 @@ def lake(spark, tmp_path_factory):
     events = [event(1), event(1), event(60), event(3, currency="GBP"), event(4, amount=-1)]
     (base / "events" / "e.json").write_text("\n".join(
         json.dumps({"offset": n, "value": json.dumps(e)}) for n, e in enumerate(events)))
-    lake.append("bronze.transactions_raw", parse_events(
-        spark.read.schema("offset bigint, value string").json(str(base / "events"))))
+    for _run in range(2):
+        finish(loads.ingest_events(
+            lake, read_event_files(spark, str(base / "events")), str(base / "cp" / "bronze")))
+    assert lake.table("bronze.transactions_raw").count() == len(events)
     loads.transactions_to_silver(
         lake, lake.stream("bronze.transactions_raw"), str(base / "cp" / "silver"))
     silver.build_customers(lake)
@@ -140,3 +143,5 @@ def test_other_file_formats(spark, tmp_path):
     assert lake.table("silver.exchange_rates").agg(F.sum("rate_to_cad")).first()[0] == 3.0
     lake.append("bronze.customers_raw", rates.withColumn("customer_id", F.lit("C1")), "b")
     assert lake.batch("bronze.customers_raw", "b").count() == 1
+    with pytest.raises(ValueError):
+        lake.rebuild("bronze.customers_raw", rates)
