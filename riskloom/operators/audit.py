@@ -119,7 +119,7 @@ class Outcome:
 
     processed: int = 0
     quarantined: int = 0
-    result: object = None
+    note: str | None = None
 
 
 def health_row(
@@ -155,7 +155,7 @@ def run_step(
     except Exception as failure:
         record("FAILED", Outcome(), str(failure))
         raise
-    record("SUCCESS", outcome)
+    record("SUCCESS", outcome, outcome.note)
     return outcome
 
 

@@ -105,6 +105,15 @@ def test_gold(lake):
     assert shops["M001"]["distinct_customers"] == 1 and shops["M002"]["overall_risk_flag"] == "HIGH"
 
 
+def test_streamed_matches(lake, tmp_path):
+    name = "gold.transactions_with_fraud_alerts"
+    before = lake.table(name).count()
+    outcome = gold.follow_alert_matches(lake, str(tmp_path / "cp"))
+    # the matches come out at once, unmatched rows only behind the watermark
+    assert outcome.processed == lake.table(name).count() - before == 3
+    assert gold.follow_alert_matches(lake, str(tmp_path / "cp")).processed == 0
+
+
 def test_running_again_changes_no_rows(lake):
     tables = [t for t in DDL if not t.startswith("audit")]
     before = {t: lake.table(t).count() for t in tables}
