@@ -32,8 +32,16 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def anti_join_new_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target does not have."""
-    return source.join(target.select(*keys), list(keys), "left_anti")
+    """Source rows whose key the target does not have.
+
+    When the source's keys are small they go to the target first, so that only target keys
+    the source asks about are shuffled.
+    """
+    keys = list(keys)
+    asked, known = source.select(*keys), target.select(*keys)
+    if measured_bytes(asked) <= BROADCAST_BYTES:
+        known = known.join(F.broadcast(asked.distinct()), keys, "left_semi")
+    return source.join(known, keys, "left_anti")
 
 
 def merge_type1(

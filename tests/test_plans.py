@@ -51,3 +51,36 @@ def test_current_slice_is_pushed_to_the_scan(spark, tmp_path):
     customer_history(Views(spark, SF).cust_feed).write.parquet(str(tmp_path / "h"))
     text = plan(history.scd2_current(spark.read.parquet(str(tmp_path / "h"))))
     assert "PushedFilters: [IsNotNull(is_current), EqualTo(is_current,true)]" in text
+
+
+def test_small_change_set_leaves_a_large_target_unshuffled(spark, tmp_path):
+    """With broadcasts by measured size only, the target's rows meet no exchange."""
+    feed = Views(spark, SF).cust_feed
+    customer_history(feed).write.parquet(str(tmp_path / "h"))
+    target = spark.read.parquet(str(tmp_path / "h"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = history.merge_type2(
+            target, feed.filter("seq % 50 = 0"), ["customer_id"], batch.TRACKED,
+            "effective_date", ["seq"])
+        new = history.anti_join_new_keys(feed.filter("seq % 50 = 0"), target, ["customer_id"])
+        for df in (merged, new):
+            lines = plan(df).split("== Initial Plan ==")[-1].splitlines()
+            # the feed's own scans read o_*, c_* and n_* columns
+            scans = [n for n, line in enumerate(lines)
+                     if "FileScan parquet [customer_id#" in line]
+            assert scans
+            for n in scans:
+                # the operators above this scan, outermost last
+                depth, above = len(lines[n]) - len(lines[n].lstrip(" :+-")), []
+                for line in reversed(lines[:n]):
+                    level = len(line) - len(line.lstrip(" :+-"))
+                    if level < depth:
+                        above.append(line)
+                        depth = level
+                joined = next((i for i, line in enumerate(above) if "BroadcastHashJoin" in line), None)
+                shuffled = next((i for i, line in enumerate(above) if "Exchange hash" in line), None)
+                assert shuffled is None or joined is not None and joined < shuffled
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
