@@ -46,8 +46,8 @@ def route_batches(
     """Hand each micro-batch to `handle(batch, batch_id)`.
 
     With `keep` the batch stays on the executors while the handler runs, so that several
-    writes parse their source once; that pays for text sources. A columnar table is better
-    read again, only the needed columns each time. A batch may be handed over again after a
+    writes parse their source once; that pays for text sources, while a columnar table is
+    read again about as fast. A batch may be handed over again after a
     failure: handlers write under the batch id so that a replay replaces its first attempt.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
