@@ -8,7 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.risk import amount_cad
-from riskloom.operators.bounded import BROADCAST_BYTES, broadcast_if_small
+from riskloom.operators.bounded import BROADCAST_BYTES, broadcast_if_small, measured_bytes
+
+
+def left_join_aggregate(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join with a side that was aggregated on the same keys, hot keys split.
+
+    Joined on the keys themselves, the aggregate's partitioning would serve the join as well,
+    and adaptive execution only splits sides that come straight from a shuffle of the join's
+    own. One composite key gives it that: the aggregate moves once more, the large side does
+    not. Rows with a NULL key match nothing.
+    """
+    slot = F.struct(*keys)
+    right = right.na.drop(how="any", subset=list(keys)).withColumn("_slot", slot).drop(*keys)
+    return left.withColumn("_slot", slot).join(right, "_slot", "left").drop("_slot")
 
 
 def daily_rates(rates: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
@@ -48,16 +61,17 @@ def fx_enrich(
     """
     day = F.to_date("transaction_timestamp")
     rates = daily_rates(rates, prefer)
-    if not asof:
-        rates = broadcast_if_small(rates, max_broadcast_bytes)
-        joined = transactions.withColumn("_day", day).join(
-            rates.withColumnRenamed("rate_date", "_day"), ["currency", "_day"], "left")
+    filled, last = carried_rates(rates) if asof else (rates, None)
+    filled, on = filled.withColumnRenamed("rate_date", "_day"), ["currency", "_day"]
+    dated = transactions.withColumn("_day", day)
+    if measured_bytes(filled) <= max_broadcast_bytes:
+        joined = dated.join(F.broadcast(filled), on, "left")
     else:
-        filled, last = (broadcast_if_small(r, max_broadcast_bytes) for r in carried_rates(rates))
+        joined = left_join_aggregate(dated, filled, on)
+    if asof:
+        # one row per currency
         joined = (
-            transactions.withColumn("_day", day)
-            .join(filled.withColumnRenamed("rate_date", "_day"), ["currency", "_day"], "left")
-            .join(last, "currency", "left")
+            joined.join(broadcast_if_small(last, max_broadcast_bytes), "currency", "left")
             .withColumn("rate_to_cad", F.coalesce(
                 "rate_to_cad",
                 F.when(F.col("_day") >= F.col("_last_date"), F.col("_last_rate")))))
@@ -89,24 +103,32 @@ def interval_matches(
     join of two shuffled sides, both of which adaptive execution may split.
     `right` must not share column names with `left` other than `key`.
     """
-    near = right.withColumn("_bucket", F.explode(F.array(
-        _bucket(right_ts, seconds), _bucket(right_ts, seconds) - 1)))
+    bucket = _bucket(right_ts, seconds)
+    near = right.filter(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).withColumn(
+        "_bucket", F.explode(F.array(bucket, bucket - 1))
+    ).withColumn("_slot", F.struct(key, "_bucket")).drop(key, "_bucket")
     return (
         _bucketed(left, key, left_ts, seconds)
-        .join(near, [key, "_bucket"])
+        .join(near, "_slot")
         .filter((F.col(right_ts) >= F.col(left_ts))
                 & (F.col(right_ts) <= _plus(left_ts, seconds)))
-        .drop("_bucket"))
+        .drop("_slot"))
+
+
+def _slotted(left: DataFrame, key: str, left_ts: str, seconds: int) -> DataFrame:
+    """Add `_slot`, key and bucket as one join key (see `left_join_aggregate`)."""
+    return left.withColumn("_slot", F.struct(key, _bucket(left_ts, seconds).alias("_bucket")))
 
 
 def _bucketed(left: DataFrame, key: str, left_ts: str, seconds: int) -> DataFrame:
     # the same filters in both branches of `interval_join` let Spark reuse one exchange
-    return left.filter(F.col(key).isNotNull() & F.col(left_ts).isNotNull()).withColumn(
-        "_bucket", _bucket(left_ts, seconds)).filter(F.col("_bucket").isNotNull())
+    return _slotted(
+        left.filter(F.col(key).isNotNull() & F.col(left_ts).isNotNull()), key, left_ts, seconds
+    ).filter(F.col("_slot").isNotNull())
 
 
 def _with_match_flag(
-    bucketed: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int
+    slotted: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int
 ) -> DataFrame:
     """Add `_matched` without pairing rows.
 
@@ -114,22 +136,22 @@ def _with_match_flag(
     it, or the earliest right row of the next bucket is within reach. Two values per key and
     bucket answer that, and they are aggregated before the shuffle.
     """
-    reach = right.select(
+    bucket, absent = _bucket(right_ts, seconds), F.lit(None).cast(right.schema[right_ts].dataType)
+    reach = right.filter(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
         key,
         F.explode(F.array(
-            F.struct(_bucket(right_ts, seconds).alias("_bucket"),
-                     F.col(right_ts).alias("_latest"),
-                     F.lit(None).cast(right.schema[right_ts].dataType).alias("_earliest_next")),
-            F.struct((_bucket(right_ts, seconds) - 1).alias("_bucket"),
-                     F.lit(None).cast(right.schema[right_ts].dataType).alias("_latest"),
+            F.struct(bucket.alias("_bucket"), F.col(right_ts).alias("_latest"),
+                     absent.alias("_earliest_next")),
+            F.struct((bucket - 1).alias("_bucket"), absent.alias("_latest"),
                      F.col(right_ts).alias("_earliest_next")))).alias("r"),
     ).select(key, "r.*").groupBy(key, "_bucket").agg(
-        F.max("_latest").alias("_latest"), F.min("_earliest_next").alias("_earliest_next"))
-    return bucketed.join(reach, [key, "_bucket"], "left").withColumn(
+        F.max("_latest").alias("_latest"), F.min("_earliest_next").alias("_earliest_next")
+    ).withColumn("_slot", F.struct(key, "_bucket")).drop(key, "_bucket")
+    return slotted.join(reach, "_slot", "left").withColumn(
         "_matched",
         F.coalesce(F.col("_latest") >= F.col(left_ts), F.lit(False))
         | F.coalesce(F.col("_earliest_next") <= _plus(left_ts, seconds), F.lit(False)),
-    ).drop("_latest", "_earliest_next")
+    ).drop("_latest", "_earliest_next", "_slot")
 
 
 def interval_join(
@@ -149,7 +171,7 @@ def interval_join(
     pairs = interval_matches(left, right, key, left_ts, right_ts, seconds)
     alone = _with_match_flag(
         _bucketed(left, key, left_ts, seconds), right, key, left_ts, right_ts, seconds
-    ).filter(~F.col("_matched")).drop("_matched", "_bucket")
+    ).filter(~F.col("_matched")).drop("_matched")
     unkeyed = left.filter(F.col(key).isNull() | F.col(left_ts).isNull())
     return pairs.unionByName(
         alone.unionByName(unkeyed), allowMissingColumns=True
@@ -166,8 +188,7 @@ def interval_semi(
 ) -> DataFrame:
     """All left rows with a boolean `has_match`; no row is multiplied."""
     flagged = _with_match_flag(
-        left.withColumn("_bucket", _bucket(left_ts, seconds)),
-        right, key, left_ts, right_ts, seconds)
+        _slotted(left, key, left_ts, seconds), right, key, left_ts, right_ts, seconds)
     return flagged.withColumnRenamed("_matched", "has_match").select(*left.columns, "has_match")
 
 

@@ -24,7 +24,8 @@ BATCH = "ingest_batch"
 APPENDED = frozenset(
     t for t in DDL
     if t.split(".")[0] in ("bronze", "quarantine")
-    or t in ("silver.transactions", "gold.transactions_with_fraud_alerts")
+    or t in ("silver.transactions", "gold.transactions_with_fraud_alerts",
+             "audit.batch_load_history")
 )
 
 

@@ -1,6 +1,8 @@
 from datetime import date, datetime, timedelta
 from random import Random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from riskloom.operators import joins, profiles
@@ -54,8 +56,9 @@ def test_interval_join_equals_brute_force_with_a_hot_key(spark):
     assert sorted(((r["id"], r["rid"]) for r in out.collect()), key=str) == brute(left, right, 600)
 
 
-def test_hot_group_is_split_on_either_side(spark):
-    """One key and bucket holds a third of a side; adaptive execution splits its partition."""
+@pytest.fixture
+def small_skew_limits(spark):
+    """Adaptive skew handling at test sizes, and no automatic broadcast."""
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -66,27 +69,59 @@ def test_hot_group_is_split_on_either_side(spark):
         "spark.sql.shuffle.partitions": "16",
     }
     before = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        wide = spark.range(60_000, numPartitions=12).select(
-            F.col("id").cast("int").alias("a"),
-            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
-             .alias("k"),
-            F.expr("timestamp_ntz'2026-05-30 10:00:00' + make_dt_interval(0,0,0,id % 60)").alias("t"))
-        narrow = spark.createDataFrame([(1, "hot", T0), (2, "k1", T0)],
-                                       "b int, k string, s timestamp_ntz")
-        hot_right = joins.interval_join(
-            narrow, wide, "k", "s", "t")
-        assert "skew=true" in plan(hot_right)
-        assert hot_right.filter("b = 1").count() == 20_000
-        hot_left = joins.interval_join(
-            wide, narrow.select("k", "b", F.expr("s + interval 1 hour").alias("s")), "k", "t", "s")
-        assert "skew=true" in plan(hot_left)
-        assert hot_left.count() == 60_000
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def third_hot(spark, rows=60_000):
+    """A third of the rows share one key and one half hour."""
+    return spark.range(rows, numPartitions=12).select(
+        F.col("id").cast("int").alias("a"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+         .alias("k"),
+        F.expr("timestamp_ntz'2026-05-30 10:00:00' + make_dt_interval(0,0,0,id % 60)").alias("t"))
+
+
+def brute_flags():
+    """Rows at 10:00 sharp of the two keys that have an alert at that instant."""
+    return sum(1 for i in range(60_000) if i % 60 == 0 and (i % 3 == 0 or i % 5000 == 1))
+
+
+def test_hot_group_is_split_on_either_side(spark, small_skew_limits):
+    narrow = spark.createDataFrame([(1, "hot", T0), (2, "k1", T0)],
+                                   "b int, k string, s timestamp_ntz")
+    hot_right = joins.interval_join(narrow, third_hot(spark), "k", "s", "t")
+    assert "skew=true" in plan(hot_right)
+    assert hot_right.filter("b = 1").count() == 20_000
+    later = narrow.select("k", "b", F.expr("s + interval 1 hour").alias("s"))
+    hot_left = joins.interval_join(third_hot(spark), later, "k", "t", "s")
+    # the pairs and the unmatched rows
+    assert plan(hot_left).count("skew=true") == 2
+    assert hot_left.count() == 60_000
+    flags = joins.interval_semi(third_hot(spark), narrow, "k", "t", "s")
+    assert "skew=true" in plan(flags)
+    assert flags.filter("has_match").count() == brute_flags()
+
+
+def test_hot_currency_and_hot_customer_are_split(spark, small_skew_limits):
+    """Rates too large to broadcast, and versions of a busy customer."""
+    txns = third_hot(spark).select(
+        F.col("a").cast("string").alias("transaction_id"), F.col("k").alias("currency"),
+        F.lit(2.0).alias("amount"), F.col("t").alias("transaction_timestamp"))
+    rates = spark.createDataFrame([("hot", date(2026, 5, 30), 1.5)],
+                                  "currency string, rate_date date, rate_to_cad double")
+    out = joins.fx_enrich(txns, rates, max_broadcast_bytes=-1)
+    assert "skew=true" in plan(out)
+    assert (out.count(), out.filter("amount_cad = 3.0").count()) == (60_000, 20_000)
+    versions = spark.createDataFrame(
+        [("hot", "LOW", date(2026, 1, 1), date(2026, 2, 1)), ("hot", "HIGH", date(2026, 2, 1), None)],
+        "currency string, tier string, valid_from date, valid_to date")
+    found = joins.asof_lookup(txns, versions, ["currency"], "transaction_timestamp", ["tier"])
+    assert "skew=true" in plan(found)
+    assert (found.count(), found.filter("tier = 'HIGH'").count()) == (60_000, 20_000)
 
 
 def test_interval_join_reads_its_left_side_through_one_exchange(spark, tmp_path):
