@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.risk import amount_cad
-from riskloom.operators.bounded import BROADCAST_BYTES, broadcast_if_small, measured_bytes
+from riskloom.operators.bounded import BROADCAST_BYTES, measured_bytes
 
 
 def left_join_aggregate(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,6 +24,15 @@ def left_join_aggregate(left: DataFrame, right: DataFrame, keys: Sequence[str])
     return left.withColumn("_slot", slot).join(right, "_slot", "left").drop("_slot")
 
 
+def _lookup(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], max_broadcast_bytes: int
+) -> DataFrame:
+    """Left join with an aggregated side, broadcast while it fits."""
+    if measured_bytes(right) <= max_broadcast_bytes:
+        return left.join(F.broadcast(right), list(keys), "left")
+    return left_join_aggregate(left, right, keys)
+
+
 def daily_rates(rates: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
     """One rate per currency and date; of several, the greatest by `prefer`, then by rate."""
     best = F.max_by("rate_to_cad", F.struct(*prefer, "rate_to_cad")) if prefer else F.max("rate_to_cad")
@@ -62,19 +71,14 @@ def fx_enrich(
     day = F.to_date("transaction_timestamp")
     rates = daily_rates(rates, prefer)
     filled, last = carried_rates(rates) if asof else (rates, None)
-    filled, on = filled.withColumnRenamed("rate_date", "_day"), ["currency", "_day"]
-    dated = transactions.withColumn("_day", day)
-    if measured_bytes(filled) <= max_broadcast_bytes:
-        joined = dated.join(F.broadcast(filled), on, "left")
-    else:
-        joined = left_join_aggregate(dated, filled, on)
+    joined = _lookup(
+        transactions.withColumn("_day", day), filled.withColumnRenamed("rate_date", "_day"),
+        ["currency", "_day"], max_broadcast_bytes)
     if asof:
-        # one row per currency
-        joined = (
-            joined.join(broadcast_if_small(last, max_broadcast_bytes), "currency", "left")
-            .withColumn("rate_to_cad", F.coalesce(
+        joined = _lookup(joined, last, ["currency"], max_broadcast_bytes).withColumn(
+            "rate_to_cad", F.coalesce(
                 "rate_to_cad",
-                F.when(F.col("_day") >= F.col("_last_date"), F.col("_last_rate")))))
+                F.when(F.col("_day") >= F.col("_last_date"), F.col("_last_rate"))))
     return joined.withColumn("amount_cad", amount_cad()).select(
         *transactions.columns, "rate_to_cad", "amount_cad")
 
@@ -221,17 +225,18 @@ def asof_lookup(
 ) -> DataFrame:
     """Each fact with the dimension version valid on `date`; NULLs when there is none.
 
-    Versions of a key do not overlap, so at most one matches. Facts of a hot key may be split
-    over tasks, since only the right side has to be complete per key.
+    Versions of a key do not overlap, so at most one matches. Only the versions have to be
+    complete per key; facts of a hot key are split over tasks, also when the history was just
+    built by a window on the same keys (see `left_join_aggregate`).
     """
-    versions = history.select(
-        *keys, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns)
-    f, v = facts.alias("f"), versions.alias("v")
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (F.col(f"f.{k}") == F.col(f"v.{k}"))
+    slot = F.struct(*keys).alias("_slot")
+    versions = history.na.drop(how="any", subset=list(keys)).select(
+        slot, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns)
+    f, v = facts.select("*", slot).alias("f"), versions.alias("v")
     day = F.col(f"f.{date}").cast("date")
-    condition = condition & (F.col("v._from") <= day) & (
-        F.col("v._to").isNull() | (day < F.col("v._to")))
-    return f.join(v, condition, "left").select(
-        *[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in columns])
+    return f.join(
+        v,
+        (F.col("f._slot") == F.col("v._slot")) & (F.col("v._from") <= day)
+        & (F.col("v._to").isNull() | (day < F.col("v._to"))),
+        "left",
+    ).select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{c}") for c in columns])

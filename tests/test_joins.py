@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from riskloom.operators import joins, profiles
+from riskloom.operators import history, joins, profiles
 
 T0 = datetime(2026, 5, 30, 10, 0)
 
@@ -119,9 +119,13 @@ def test_hot_currency_and_hot_customer_are_split(spark, small_skew_limits):
     versions = spark.createDataFrame(
         [("hot", "LOW", date(2026, 1, 1), date(2026, 2, 1)), ("hot", "HIGH", date(2026, 2, 1), None)],
         "currency string, tier string, valid_from date, valid_to date")
-    found = joins.asof_lookup(txns, versions, ["currency"], "transaction_timestamp", ["tier"])
-    assert "skew=true" in plan(found)
-    assert (found.count(), found.filter("tier = 'HIGH'").count()) == (60_000, 20_000)
+    feed = versions.select("currency", "tier", F.col("valid_from").alias("d"))
+    built = history.scd2_from_feed(feed, ["currency"], ["tier"], "d")
+    for dimension in (versions, built):
+        found = joins.asof_lookup(
+            txns, dimension, ["currency"], "transaction_timestamp", ["tier"])
+        assert "skew=true" in plan(found)
+        assert (found.count(), found.filter("tier = 'HIGH'").count()) == (60_000, 20_000)
 
 
 def test_interval_join_reads_its_left_side_through_one_exchange(spark, tmp_path):
