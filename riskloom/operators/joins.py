@@ -36,7 +36,8 @@ def _lookup(
 def daily_rates(rates: DataFrame, prefer: Sequence[str] = ()) -> DataFrame:
     """One rate per currency and date; of several, the greatest by `prefer`, then by rate."""
     best = F.max_by("rate_to_cad", F.struct(*prefer, "rate_to_cad")) if prefer else F.max("rate_to_cad")
-    return rates.groupBy("currency", "rate_date").agg(best.alias("rate_to_cad"))
+    known = rates.na.drop(how="any", subset=["currency", "rate_date", "rate_to_cad"])
+    return known.groupBy("currency", "rate_date").agg(best.alias("rate_to_cad"))
 
 
 def carried_rates(rates: DataFrame) -> tuple[DataFrame, DataFrame]:
