@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from crosscheck.registry import ORACLE, QUERIES
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -13,14 +14,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    rows, fault = difference(spark, con, queries()[name], oracle_sql().get(name), SF)
+    rows, fault = difference(spark, con, QUERIES[name], ORACLE.get(name), SF)
     assert fault is None, fault
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 def test_entry_has_one_row_per_customer(spark):
