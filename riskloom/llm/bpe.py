@@ -120,6 +120,7 @@ class Encoder:
         tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         to_byte = {s: b for b, s in enumerate(byte_symbol)}
         size = max(tokens) + 1
+        self.id_type = "<u2" if size <= 1 << 16 else "<u4"
         parts = []
         for i in range(size):
             token = tokens.get(i, "")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe
+from riskloom.llm import bpe, packing
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -29,3 +29,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe_round_trip")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_lexical_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
