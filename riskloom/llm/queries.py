@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, packing
+from riskloom.llm import bpe, packing, quality_rules
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -26,6 +26,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query("op1_quality_rules")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query("op2_bpe_round_trip")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
