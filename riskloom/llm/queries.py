@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, packing, quality_rules
+from riskloom.llm import bpe, packing, quality_rules, sharding
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -40,6 +40,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_kd_tree_sharding")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 @query("op6_lexical_packing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
