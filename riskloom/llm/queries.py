@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, packing, quality_rules, sharding
+from riskloom.llm import bpe, line_dedup, packing, quality_rules, secret_scan, sharding
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -48,3 +48,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_lexical_packing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_line_dedup", line_dedup.ORACLE)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op10_secret_scan")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
