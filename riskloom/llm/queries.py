@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, line_dedup, packing, quality_rules, secret_scan, sharding
+from riskloom.llm import (
+    bpe,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    sharding,
+)
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -55,6 +63,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@query("op9_jaccard_join")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_groups(documents(spark, sf_dir))
+
+
 @query("op10_secret_scan")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
