@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
+    ann,
     bpe,
     jaccard_join,
     line_dedup,
@@ -58,6 +59,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op7_hnsw_search")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query("op8_line_dedup", line_dedup.ORACLE)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
