@@ -13,6 +13,7 @@ from riskloom.llm import (
     jaccard_join,
     line_dedup,
     packing,
+    quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
@@ -54,6 +55,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+@query("op4_quality_classifier")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query("op6_lexical_packing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
