@@ -11,6 +11,7 @@ from riskloom.llm import (
     ann,
     bpe,
     jaccard_join,
+    license_scan,
     line_dedup,
     packing,
     quality_classifier,
@@ -60,6 +61,11 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+@query("op5_license_scan", license_scan.oracle())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(license_scan.documents_as_files(documents(spark, sf_dir)))
+
+
 @query("op6_lexical_packing")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
