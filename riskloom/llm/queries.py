@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from riskloom.llm import (
     ann,
     bpe,
@@ -89,3 +90,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
