@@ -14,6 +14,7 @@ from crosscheck.views import Views, duckdb_with
 from riskloom.functions import privacy, risk, text
 from riskloom.operators import audit, contract, history as hist, joins, profiles, rules
 from riskloom.schemas import CONTRACTS, struct
+from riskloom.plans import silver
 from riskloom.sources.events import parse_events
 from riskloom.sources.registry import SEVERITIES, SOURCES
 
@@ -689,6 +690,7 @@ def _(v):
            recon_sql("customers", "bronze_to_silver", "customer",
                      "(SELECT * FROM customers WHERE is_current)"),
            recon_sql("merchants", "bronze_to_silver", "merch_raw", "merchants"),
+           recon_sql("exchange_rates", "bronze_to_silver", "fx", "fx"),
            recon_sql("transactions", "silver_to_gold", "txn", "enriched")]))
 def _(v):
     return audit.reconcile_all([
@@ -696,34 +698,51 @@ def _(v):
         (v.table("customer"), hist.scd2_current(customer_history(v.cust_feed)),
          "customers", "bronze_to_silver"),
         (v.merch_raw, merchants(v), "merchants", "bronze_to_silver"),
+        (v.fx, silver.silver_rates(v.fx), "exchange_rates", "bronze_to_silver"),
         (v.txn, enriched(v), "transactions", "silver_to_gold"),
     ])
 
 
-@query("reconcile_balanced", duckdb_with(**TXN_PARTS) + """
+BALANCED = """
 SELECT 'transactions' AS pipeline_name, 'bronze_to_silver' AS layer, n AS source_count,
-  kept AS kept_count, bad AS rejected_count, good - kept AS duplicate_count,
-  n - kept - bad - (good - kept) AS difference,
-  CASE WHEN n = bad + good THEN 'PASSED' ELSE 'FAILED' END AS reconciliation_status
+  kept AS kept_count, bad AS rejected_count, good - ids AS duplicate_count,
+  n - kept - bad - (good - ids) AS difference,
+  CASE WHEN n = kept + bad + good - ids THEN 'PASSED' ELSE 'FAILED' END AS reconciliation_status
 FROM (SELECT (SELECT count(*) FROM txn_raw) AS n, (SELECT count(*) FROM txn_clean) AS good,
-  (SELECT count(DISTINCT transaction_id) FROM txn_clean) AS kept,
-  (SELECT count(*) FROM txn_tagged WHERE error_reason <> '') AS bad)""")
+  (SELECT count(DISTINCT transaction_id) FROM txn_clean) AS ids,
+  (SELECT count(*) FROM ({kept})) AS kept,
+  (SELECT count(*) FROM txn_tagged WHERE error_reason <> '') AS bad)"""
+
+
+@query("reconcile_balanced", duckdb_with(**TXN_PARTS) + BALANCED.format(kept="SELECT DISTINCT transaction_id FROM txn_clean"))
+def _(v):
+    clean, rejected = rules.split_transactions(v.txn_raw, timestamp_type=NTZ)
+    return audit.reconcile_balanced(
+        v.txn_raw, rules.any_broken(rules.transaction_rules(NTZ)), rejected,
+        hist.dedup_any(clean, ["transaction_id"]), "transactions", "bronze_to_silver",
+        "transaction_id")
+
+
+@query("reconcile_balanced_lossy", duckdb_with(**TXN_PARTS) + BALANCED.format(
+    kept="SELECT DISTINCT transaction_id FROM txn_clean WHERE currency <> 'USD'"))
 def _(v):
+    """The table that was written lacks clean rows: their number is the difference."""
     clean, rejected = rules.split_transactions(v.txn_raw, timestamp_type=NTZ)
     return audit.reconcile_balanced(
         v.txn_raw, rules.any_broken(rules.transaction_rules(NTZ)), rejected,
-        hist.dedup_any(clean, ["transaction_id"]), "transactions", "bronze_to_silver")
+        clean.filter("currency <> 'USD'").select("transaction_id").distinct(), "transactions",
+        "bronze_to_silver", "transaction_id")
 
 
-@query("group_table_recon", duckdb_with("txn", "fx", enriched=ENRICHED, labelled=LABELLED) + """
-SELECT 'fraud_risk_summary' AS pipeline_name, 'gold_aggregation' AS layer, g AS source_count,
-  g AS target_count, CAST(0 AS BIGINT) AS difference, n AS source_rows, n AS summed_rows,
-  'PASSED' AS reconciliation_status
-FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT transaction_date, risk_level FROM labelled)) AS g,
-  (SELECT count(*) FROM labelled) AS n)""")
+@query("group_table_recon", duckdb_with("txn", "fx", enriched=ENRICHED, labelled=LABELLED) + """,
+summary AS (SELECT transaction_date, risk_level, count(*) AS n FROM labelled GROUP BY ALL),
+counts AS (SELECT (SELECT count(*) FROM txn) AS s, CAST(sum(n) AS BIGINT) AS t, count(*) AS r,
+  count(DISTINCT concat_ws('|', transaction_date, risk_level)) AS g FROM summary)
+SELECT 'fraud_risk_summary' AS pipeline_name, 'gold_aggregation' AS layer, s AS source_count,
+  t AS target_count, s - t AS difference, r AS group_rows, g AS group_count,
+  CASE WHEN s = t AND r = g THEN 'PASSED' ELSE 'FAILED' END AS reconciliation_status FROM counts""")
 def _(v):
     source = enriched(v)
     return audit.reconcile_groups(
-        source, profiles.fraud_risk_summary(source),
-        [F.to_date("transaction_timestamp"), risk.amount_risk_label("amount_cad")],
+        v.txn, profiles.fraud_risk_summary(source), ["transaction_date", "risk_level"],
         "transaction_count", "fraud_risk_summary")

@@ -14,20 +14,20 @@ from crosscheck.batch import (
     feed_parts, merchants, recon_sql,
 )
 from crosscheck.oracle_parts import (
-    ALERT_LOADED, ENRICHED, MERCH_PARTS, TXN_PARTS,
+    ALERT_LOADED, ALERT_PARTS, ENRICHED, MERCH_PARTS, TXN_PARTS,
 )
 from crosscheck.registry import query
 from crosscheck.views import Views, duckdb_with
-from riskloom.operators import audit, rules
-from riskloom.plans import gold
-from riskloom.schemas import DDL
+from riskloom.operators import audit, history, rules
+from riskloom.plans import gold, silver
+from riskloom.schemas import DDL, EVENT_DDL, FEED_DDL, column_names
 from riskloom.session import run_dir
 from riskloom.sources.events import parse_events, read_event_files
 from riskloom.sources.files import scan_csv
 from riskloom.sources.registry import SOURCES
 from riskloom.sources.tables import Lakehouse
 from riskloom.streaming.loads import ingest_events, load_files, transactions_to_silver
-from riskloom.streaming.sinks import append_stream, append_to_table, finish, rows_dropped_late
+from riskloom.streaming.sinks import append_stream, append_to_table, finish, late_rows
 from riskloom.streaming.stateful import dedup_stream, interval_join_stream
 
 
@@ -45,17 +45,19 @@ def land_csv(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
-CUSTOMER_COLUMNS = ["customer_id", "customer_name", "customer_country", "customer_risk_tier",
-                    "kyc_status", "effective_date"]
-ALERT_COLUMNS = ["alert_id", "customer_id", "merchant_id", "alert_type", "alert_severity",
-                 "alert_timestamp"]
-MERCHANT_COLUMNS = ["merchant_id", "merchant_name", "merchant_category", "merchant_country",
-                    "risk_category", "is_high_risk_merchant"]
+CUSTOMER_COLUMNS, ALERT_COLUMNS, MERCHANT_COLUMNS, RATE_COLUMNS = (
+    column_names(FEED_DDL[name])
+    for name in ("customers", "fraud_alerts", "merchants", "exchange_rates"))
 CUSTOMER_SQL = ", ".join(CUSTOMER_COLUMNS[:-1]) + ", CAST(effective_date AS VARCHAR) AS effective_date"
 
 
-EVENT_COLUMNS = ["transaction_id", "customer_id", "card_id", "merchant_id", "amount", "currency",
-                 "transaction_timestamp", "channel", "location_country", "transaction_status"]
+EVENT_COLUMNS = column_names(EVENT_DDL)
+
+
+# the tables a route into silver needs, and the file of three a row comes with
+ROUTED = ("bronze.transactions_raw", "silver.transactions", "quarantine.invalid_transactions",
+          audit.RECONCILIATION, audit.HEALTH)
+PART = "CAST(substring(card_id, 6, 3) AS INT) % 3"
 
 
 def land_events(v: Views, path: str) -> None:
@@ -98,7 +100,7 @@ def _(v):
     return scan_csv(v.spark, where, SOURCES["customers"].text_schema)
 
 
-@query("metadata_driven_load", duckdb_with("cust_feed", "fx", "merch_raw",
+@query("metadata_driven_load", duckdb_with("cust_feed", "fx", "merch_raw", "txn_raw",
                                            loaded_alerts=ALERT_LOADED) + """
 SELECT 'customers' AS source, count(*) FILTER (kyc_status IS NOT NULL) AS loaded,
   count(*) FILTER (kyc_status IS NULL) AS rejected FROM cust_feed
@@ -106,12 +108,21 @@ UNION ALL SELECT 'exchange_rates', count(*), 0 FROM fx
 UNION ALL SELECT 'merchants', count(*) FILTER (merchant_name IS NOT NULL),
   count(*) FILTER (merchant_name IS NULL) FROM merch_raw
 UNION ALL SELECT 'fraud_alerts', count(*) FILTER (error_reason = ''),
-  count(*) FILTER (error_reason <> '') FROM loaded_alerts""")
+  count(*) FILTER (error_reason <> '') FROM loaded_alerts
+UNION ALL SELECT 'transactions', 2 * count(*) - count(*) FILTER (bad), count(*) FILTER (bad)
+FROM (SELECT coalesce(transaction_id IS NULL OR customer_id IS NULL OR card_id IS NULL
+  OR merchant_id IS NULL OR amount IS NULL OR currency IS NULL OR transaction_timestamp IS NULL
+  OR channel IS NULL OR transaction_status IS NULL OR coalesce(TRY_CAST(amount AS DOUBLE) <= 0, FALSE)
+  OR upper(trim(currency)) NOT IN ('CAD', 'USD', 'EUR', 'GBP'), TRUE) AS bad FROM txn_raw)""")
 def _(v):
+    """All five sources; transactions come as events first and as files into the same table."""
     lake, where = new_lake(v), run_dir(v.spark, "feeds")
+    land_events(v, f"{where}/events")
+    finish(ingest_events(lake, read_event_files(v.spark, f"{where}/events"), f"{where}/bus"))
     feeds = {
         "customers": v.cust_feed.select(*CUSTOMER_COLUMNS),
-        "exchange_rates": v.fx.select("currency", "rate_date", "rate_to_cad"),
+        "exchange_rates": v.fx.select(*RATE_COLUMNS),
+        "transactions": v.txn_raw.select(*EVENT_COLUMNS),
         "merchants": v.merch_raw.select(*MERCHANT_COLUMNS),
         "fraud_alerts": v.alerts_raw.select(*ALERT_COLUMNS),
     }
@@ -196,7 +207,7 @@ def _(v):
 @query("stream_append_sink", duckdb_with("txn_raw") + f"SELECT {EVENTS_SQL} FROM txn_raw")
 def _(v):
     """Events into bronze, and bronze followed by a second stream into another table."""
-    lake, where = new_lake(v, "bronze.transactions_raw"), run_dir(v.spark, "events")
+    lake, where = new_lake(v, "bronze.transactions_raw", audit.HEALTH), run_dir(v.spark, "events")
     land_events(v, f"{where}/landing")
     finish(ingest_events(lake, read_event_files(v.spark, f"{where}/landing"), f"{where}/cp1"))
     table = f"`{lake.prefix}bronze`.`copied`"
@@ -221,7 +232,7 @@ def _(v):
 SELECT DISTINCT transaction_id, '' AS error_reason FROM txn_clean
 UNION ALL SELECT transaction_id, error_reason FROM txn_tagged WHERE error_reason <> ''""")
 def _(v):
-    lake, where = new_lake(v), run_dir(v.spark, "route")
+    lake, where = new_lake(v, *ROUTED), run_dir(v.spark, "route")
     lake.append("bronze.transactions_raw", v.txn_raw, "landed")
     transactions_to_silver(
         lake, lake.stream("bronze.transactions_raw"), f"{where}/checkpoint")
@@ -231,6 +242,103 @@ def _(v):
         "transaction_id", "error_reason"))
 
 
+@query("foreach_batch_router_small_batches", duckdb_with(**TXN_PARTS) + f"""
+SELECT {', '.join(EVENT_COLUMNS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {PART},
+    ingestion_timestamp NULLS FIRST, {', '.join(c + ' NULLS FIRST' for c in EVENT_COLUMNS)}) AS nth FROM txn_clean) WHERE nth = 1""")
+def _(v):
+    """Duplicates across files, a file per micro-batch: the row that arrived first stays."""
+    lake, where = new_lake(v, *ROUTED), run_dir(v.spark, "route")
+    for part in range(3):
+        lake.append("bronze.transactions_raw", v.txn_raw.filter(f"{PART} = {part}").coalesce(1))
+    for _run in range(2):
+        transactions_to_silver(
+            lake, lake.stream("bronze.transactions_raw", max_files=1, arrival=True),
+            f"{where}/checkpoint")
+    return lake.table("silver.transactions").select(*EVENT_COLUMNS)
+
+
+@query("load_audit_rows", duckdb_with("cust_feed") + """
+SELECT 'load_customers' AS pipeline_name, 'health' AS kind, 'SUCCESS' AS status, 2 AS n,
+  count(*) FILTER (kyc_status IS NOT NULL) AS processed,
+  count(*) FILTER (kyc_status IS NULL) AS other FROM cust_feed
+UNION ALL SELECT 'load_customers', 'reconciliation', 'PASSED', 2, count(*), count(*) FROM cust_feed
+UNION ALL SELECT 'load_merchants', 'health', 'FAILED', 1, 0, 0""")
+def _(v):
+    """Two good loads, a failing one, and a replay, which leaves no second row."""
+    lake, where = new_lake(v), run_dir(v.spark, "feed")
+    for part in feed_parts(v):
+        land_csv(part.select(*CUSTOMER_COLUMNS), f"{where}/landing")
+        load_files(lake, "customers", f"{where}/landing", f"{where}/checkpoint")
+    land_csv(v.merch_raw.select(*MERCHANT_COLUMNS), f"{where}/merchants")
+    v.spark.sql(f"DROP TABLE {lake.name('quarantine.invalid_merchants')}")
+    for _attempt in range(2):
+        try:
+            load_files(lake, "merchants", f"{where}/merchants", f"{where}/checkpoint-m")
+        except Exception:
+            pass
+    health = lake.table(audit.HEALTH).groupBy("pipeline_name", "status").agg(
+        F.count("*").cast("int").alias("n"), F.sum("records_processed").alias("processed"),
+        F.sum("records_quarantined").alias("other"))
+    recon = lake.table(audit.RECONCILIATION).groupBy(
+        "pipeline_name", F.col("reconciliation_status").alias("status")).agg(
+        F.count("*").cast("int").alias("n"), F.sum("source_count").alias("processed"),
+        F.sum("target_count").alias("other"))
+    columns = ["pipeline_name", "kind", "status", "n", "processed", "other"]
+    return health.withColumn("kind", F.lit("health")).select(*columns).unionByName(
+        recon.withColumn("kind", F.lit("reconciliation")).select(*columns))
+
+
+@query("unparsed_feed_rows_quarantined", duckdb_with("cust_feed", "fx") + f"""
+SELECT 'customers' AS source, customer_id AS id, CASE WHEN seq % 7 = 3 THEN 'never'
+  ELSE CAST(effective_date AS VARCHAR) END AS value, concat_ws(', ',
+  CASE WHEN kyc_status IS NULL THEN 'MISSING_KYC_STATUS' END,
+  CASE WHEN seq % 7 = 3 THEN 'MISSING_EFFECTIVE_DATE' END) AS error_reason
+FROM cust_feed WHERE kyc_status IS NULL OR seq % 7 = 3
+UNION ALL SELECT 'exchange_rates', currency, 'n/a', 'MISSING_RATE_TO_CAD' FROM fx
+WHERE currency = 'GBP'""")
+def _(v):
+    lake, where = new_lake(v), run_dir(v.spark, "feeds")
+    feeds = {
+        "customers": v.cust_feed.withColumn("effective_date", F.when(
+            F.col("seq") % 7 == 3, "never").otherwise(F.col("effective_date").cast("string"))),
+        "exchange_rates": v.fx.withColumn("rate_to_cad", F.when(
+            F.col("currency") == "GBP", "n/a").otherwise(F.col("rate_to_cad").cast("string"))),
+    }
+    for source, columns in (("customers", CUSTOMER_COLUMNS), ("exchange_rates", RATE_COLUMNS)):
+        land_csv(feeds[source].select(*columns), f"{where}/{source}")
+        load_files(lake, source, f"{where}/{source}", f"{where}/checkpoint/{source}")
+    people = lake.table("quarantine.invalid_customers").select(
+        F.lit("customers").alias("source"), F.col("customer_id").alias("id"),
+        F.col("effective_date").alias("value"), "error_reason")
+    return people.unionByName(lake.table("quarantine.invalid_exchange_rates").select(
+        F.lit("exchange_rates").alias("source"), F.col("currency").alias("id"),
+        F.col("rate_to_cad").alias("value"), "error_reason"))
+
+
+@query("stream_then_backfill", duckdb_with(**TXN_PARTS, **ALERT_PARTS) + """,
+once AS (SELECT * FROM txn_clean QUALIFY row_number() OVER (
+  PARTITION BY transaction_id ORDER BY customer_id, merchant_id, amount) = 1)
+SELECT t.transaction_id, a.alert_id FROM once t LEFT JOIN alerts a
+  ON t.customer_id = a.customer_id AND a.alert_timestamp >= t.transaction_timestamp
+  AND a.alert_timestamp <= t.transaction_timestamp + INTERVAL 30 MINUTE""")
+def _(v):
+    """Matches streamed, then backfilled, each twice: every pair once."""
+    lake, where = new_lake(v), run_dir(v.spark, "matches")
+    clean = rules.split_transactions(v.txn_raw).clean
+    lake.append("silver.transactions", history.dedup_first(
+        clean, ["transaction_id"], ["customer_id", "merchant_id", "amount"]), "landed")
+    land_csv(v.alerts_raw.select(*ALERT_COLUMNS), f"{where}/alerts")
+    load_files(lake, "fraud_alerts", f"{where}/alerts", f"{where}/load")
+    silver.build_alerts(lake)
+    for _attempt in range(2):
+        gold.follow_alert_matches(lake, f"{where}/checkpoint")
+    for _attempt in range(2):
+        gold.build_alert_matches(lake)
+    gold.follow_alert_matches(lake, f"{where}/checkpoint")
+    return lake.table("gold.transactions_with_fraud_alerts").select("transaction_id", "alert_id")
+
+
 def event_stream(v: Views) -> DataFrame:
     schema = v.table("events").schema
     return v.spark.readStream.schema(schema).parquet(f"{v.dir}/events.parquet*")
@@ -282,9 +390,9 @@ def _(v):
     for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
         events.filter(part).write.mode("append").parquet(f"{where}/landing")
         stream = v.spark.readStream.schema(schema).parquet(f"{where}/landing")
-        query_ = finish(append_stream(
-            dedup_stream(stream, ["event_id"], "ts"), f"{where}/out", f"{where}/checkpoint"))
-        dropped += rows_dropped_late(query_)
+        with late_rows(v.spark) as late:
+            dropped += late.of(finish(append_stream(
+                dedup_stream(stream, ["event_id"], "ts"), f"{where}/out", f"{where}/checkpoint")))
     return events.agg(F.count("*").alias("arrived")).withColumn(
         "dropped_late", F.lit(dropped).cast("bigint"))
 

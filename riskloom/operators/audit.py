@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.operators.history import anti_join_new_keys
 from riskloom.schemas import schema_of
 from riskloom.sources.tables import Lakehouse
 
@@ -46,6 +47,14 @@ def _judged(counts: DataFrame, name: str, layer: str) -> DataFrame:
         F.when(difference == 0, "PASSED").otherwise("FAILED").alias("reconciliation_status"))
 
 
+def judged_counts(
+    spark: SparkSession, source: int, target: int, name: str, layer: str
+) -> DataFrame:
+    """The reconciliation of two counts that are known."""
+    return _judged(spark.createDataFrame(
+        [(source, target)], "source_count bigint, target_count bigint"), name, layer)
+
+
 def reconcile_counts(source: DataFrame, target: DataFrame, name: str, layer: str) -> DataFrame:
     """One row comparing the row counts of two frames; PASSED when they are equal."""
     return _judged(
@@ -60,41 +69,48 @@ def reconcile_all(checks: list[tuple[DataFrame, DataFrame, str, str]]) -> DataFr
 
 def reconcile_balanced(
     source: DataFrame, broken: Column, rejected: DataFrame, kept: DataFrame, name: str, layer: str,
+    key: str, known: DataFrame | None = None,
 ) -> DataFrame:
-    """Nothing lost: source = kept + rejected + duplicates.
+    """Nothing lost: source = kept + rejected + duplicates, each of them counted by itself.
 
-    One pass over the source counts its rows and the good ones among them (`broken` is the
-    condition its split used); `rejected` and `kept` are the tables the split wrote, whose
-    counts Spark takes from the file footers.
+    Duplicates are the good rows of the source (`broken` is the condition its split used) beyond
+    one for each `key`, and those whose key was `known` before. `rejected` and `kept` are the
+    tables the split wrote, whose counts Spark takes from the file footers.
     """
+    keys = source.filter(~broken).select(key).distinct()
+    if known is not None:
+        keys = anti_join_new_keys(keys, known, [key])
     counts = _sum_counts(
         source.agg(F.count("*").alias("source_count"), F.count_if(~broken).alias("clean_count")),
-        row_count(rejected, "rejected_count"), row_count(kept, "kept_count"))
-    counts = counts.withColumn("duplicate_count", F.col("clean_count") - F.col("kept_count"))
+        row_count(keys, "key_count"), row_count(rejected, "rejected_count"),
+        row_count(kept, "kept_count"))
+    counts = counts.withColumn("duplicate_count", F.col("clean_count") - F.col("key_count"))
     balance = (F.col("source_count") - F.col("kept_count") - F.col("rejected_count")
                - F.col("duplicate_count"))
     return counts.select(
         F.lit(name).alias("pipeline_name"), F.lit(layer).alias("layer"),
         "source_count", "kept_count", "rejected_count", "duplicate_count",
         balance.alias("difference"),
-        F.when((balance == 0) & (F.col("duplicate_count") >= 0), "PASSED").otherwise("FAILED")
-         .alias("reconciliation_status"))
+        F.when(balance == 0, "PASSED").otherwise("FAILED").alias("reconciliation_status"))
 
 
 def reconcile_groups(
-    source: DataFrame, summary: DataFrame, keys: list[Column], count: str, name: str
+    source: DataFrame, summary: DataFrame, keys: list[str], count: str, name: str
 ) -> DataFrame:
-    """A grouped table has one row per group of its source, and its counts add up to its rows."""
+    """A grouped table counts every row of its source once and has one row per group.
+
+    The source is only counted, which file footers answer; groups are looked at in the summary.
+    """
     counts = _sum_counts(
-        source.agg(F.count_distinct(F.struct(*keys)).alias("source_count"),
-                   F.count("*").alias("source_rows")),
-        summary.agg(F.count("*").alias("target_count"), F.sum(count).alias("summed_rows")))
+        row_count(source, "source_count"),
+        summary.agg(F.sum(count).alias("target_count"), F.count("*").alias("group_rows"),
+                    F.count_distinct(F.struct(*keys)).alias("group_count")))
     difference = F.col("source_count") - F.col("target_count")
     return counts.select(
         F.lit(name).alias("pipeline_name"), F.lit("gold_aggregation").alias("layer"),
         "source_count", "target_count", difference.alias("difference"),
-        "source_rows", "summed_rows",
-        F.when((difference == 0) & (F.col("source_rows") == F.col("summed_rows")), "PASSED")
+        "group_rows", "group_count",
+        F.when((difference == 0) & (F.col("group_rows") == F.col("group_count")), "PASSED")
          .otherwise("FAILED").alias("reconciliation_status"))
 
 
@@ -133,12 +149,13 @@ def health_row(
 
 
 def run_step(
-    lake: Lakehouse, name: str, layer: str, step: Callable[[], Outcome]
+    lake: Lakehouse, name: str, layer: str, step: Callable[[], Outcome], batch: str | None = None
 ) -> Outcome:
     """Run a step and append its health row, whether it succeeds or fails.
 
     The step's own error is raised again. A failure to write the health row of a good step is
-    logged and does not turn the step into a failure.
+    logged and does not turn the step into a failure. With `batch` the row replaces the one of
+    an earlier attempt at that batch.
     """
     run_id, start = str(uuid.uuid4()), datetime.now(timezone.utc)
 
@@ -146,7 +163,7 @@ def run_step(
         try:
             lake.append(HEALTH, health_row(
                 lake.spark, name, layer, run_id, status, start, datetime.now(timezone.utc),
-                outcome.processed, outcome.quarantined, error))
+                outcome.processed, outcome.quarantined, error), batch)
         except Exception:
             log.exception("health row of %s (%s) was not written", name, status)
 
@@ -159,10 +176,10 @@ def run_step(
     return outcome
 
 
-def record_reconciliation(lake: Lakehouse, result: DataFrame) -> None:
+def record_reconciliation(lake: Lakehouse, result: DataFrame, batch: str | None = None) -> None:
     """Append a reconciliation; its own failure is logged, since the data is already there."""
     try:
         lake.append(RECONCILIATION, result.withColumn(
-            "validation_timestamp", F.current_timestamp()))
+            "validation_timestamp", F.current_timestamp()), batch)
     except Exception:
         log.exception("reconciliation was not written")

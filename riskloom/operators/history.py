@@ -27,6 +27,12 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(latest)).filter("_rank = 1").drop("_rank")
 
 
+def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The row of each key that is least by `order_by`, with the group limit of `dedup_latest`."""
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
+
+
 def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.na.drop(how="any", subset=list(keys))
 

@@ -226,13 +226,24 @@ def asof_lookup(
 ) -> DataFrame:
     """Each fact with the dimension version valid on `date`; NULLs when there is none.
 
-    Versions of a key do not overlap, so at most one matches. Only the versions have to be
-    complete per key; facts of a hot key are split over tasks, also when the history was just
-    built by a window on the same keys (see `left_join_aggregate`).
+    Versions of a key do not overlap, so at most one matches. A version stands once for every
+    month it is valid in, open ones until the last fact, and facts meet the versions of their
+    month only: their number does not grow with a key's history. Facts of a hot key and month are
+    split over tasks, also when the history was just built by a window on the same keys (see
+    `left_join_aggregate`). The last date is one aggregate over one column.
     """
-    slot = F.struct(*keys).alias("_slot")
-    versions = history.na.drop(how="any", subset=list(keys)).select(
-        slot, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns)
+    last = facts.agg(F.max(F.col(date).cast("date"))).first()[0]
+    start, end = F.col("valid_from").cast("date"), F.col("valid_to").cast("date")
+    used = history.na.drop(how="any", subset=list(keys)).where(
+        (start <= F.lit(last).cast("date")) & (end.isNull() | (start < end)))
+    until = F.least(F.coalesce(F.date_sub(end, 1), F.lit(last)), F.lit(last)).cast("date")
+    months = F.sequence(F.trunc(start, "month"), F.trunc(until, "month"),
+                        F.expr("INTERVAL 1 MONTH"))
+    versions = used.select("*", F.explode(months).alias("_month")).select(
+        F.struct(*keys, "_month").alias("_slot"), start.alias("_from"), end.alias("_to"),
+        *columns)
+    day = F.col(date).cast("date")
+    slot = F.struct(*keys, F.trunc(day, "month").alias("_month")).alias("_slot")
     f, v = facts.select("*", slot).alias("f"), versions.alias("v")
     day = F.col(f"f.{date}").cast("date")
     return f.join(

@@ -86,6 +86,11 @@ def _literal(value) -> str:
     return repr(value)
 
 
+def _domain(column: str, values: Iterable, normalise: bool) -> str:
+    subject = f"upper(trim({column}))" if normalise else column
+    return f"{subject} NOT IN ({', '.join(map(_literal, values))})"
+
+
 def rules_from_config(entries: Iterable[Mapping], normalise: bool = False) -> list[Rule]:
     """Rules from `column / op / value(s) / error` entries.
 
@@ -99,8 +104,7 @@ def rules_from_config(entries: Iterable[Mapping], normalise: bool = False) -> li
         if op == "gt":
             broken = f"try_cast({column} AS double) <= {_literal(entry['value'])}"
         elif op == "isin":
-            subject = f"upper(trim({column}))" if normalise else column
-            broken = f"{subject} NOT IN ({', '.join(map(_literal, entry['values']))})"
+            broken = _domain(column, entry["values"], normalise)
         elif op == "not_null":
             broken = f"{column} IS NULL"
         else:
@@ -109,14 +113,7 @@ def rules_from_config(entries: Iterable[Mapping], normalise: bool = False) -> li
     return rules
 
 
-def _domain(column: str, values: list[str], normalise: bool) -> str:
-    subject = f"upper(trim({column}))" if normalise else column
-    return f"{subject} NOT IN ({', '.join(map(_literal, values))})"
-
-
-# fixed values: the labels of the rules below and their order
-
-
+# fixed values: the labels of these rules and their order
 def transaction_rules(timestamp_type: str = "timestamp", normalise: bool = True) -> list[Rule]:
     parsed = ("try_to_timestamp(transaction_timestamp)" if timestamp_type == "timestamp"
               else f"try_cast(transaction_timestamp AS {timestamp_type})")
@@ -176,6 +173,7 @@ def quarantine_transactions_v1(df: DataFrame, timestamp_type: str = "timestamp")
     return split(cleaned, rules).rejected.withColumn("quarantined_at", F.current_timestamp())
 
 
+# fixed values: the labels of these rules and their order
 MERCHANT_RULES = [
     Rule("PARSE_FAILED",
          "merchant_id IS NULL AND merchant_name IS NULL AND merchant_country IS NULL"),
@@ -197,6 +195,7 @@ def split_merchants(df: DataFrame) -> Split:
     return Split(clean, bad.withColumn("quarantined_at", F.current_timestamp()))
 
 
+# fixed values: the labels of these rules and their order
 def alert_rules(normalise: bool = True) -> list[Rule]:
     return [
         Rule("PARSE_FAILED",

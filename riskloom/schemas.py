@@ -115,6 +115,10 @@ CONTRACTS = {
 }
 
 
+def column_names(ddl: str) -> list[str]:
+    return [column.split()[0] for column in ddl.split(", ")]
+
+
 def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 

@@ -50,6 +50,7 @@ SOURCES = {
             "customers",
             required=("customer_id", "customer_name", "customer_country", "customer_risk_tier",
                       "kyc_status", "effective_date"),
+            casts={"effective_date": "date"},
         ),
         SourceSpec(
             "merchants",
@@ -58,6 +59,7 @@ SOURCES = {
         SourceSpec(
             "exchange_rates",
             required=("currency", "rate_date", "rate_to_cad"),
+            casts={"rate_date": "date", "rate_to_cad": "double"},
         ),
         SourceSpec(
             "fraud_alerts",

@@ -4,34 +4,43 @@ Plain file tables have no transactions. Two conventions give the writes the prop
 jobs need: a rebuild writes a new folder and then points the table at it, so readers never
 see a half-written table and a table may be rebuilt from itself; and appends from
 micro-batches go to one partition per batch, so a replayed batch replaces its own rows. The
-label of a batch names its checkpoint too (`batch_label`), so two queries never share one.
+label of a batch names the id of its query too (`batch_label`), so two queries never share one,
+not even if a checkpoint is deleted and its path used again.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from riskloom.schemas import DDL, LAYERS, conform, schema_of
 
-BATCH = "ingest_batch"
+BATCH, ARRIVAL = "ingest_batch", "_arrival"
 
 # Tables fed by appends; the rest are rebuilt as a whole.
 APPENDED = frozenset(
     t for t in DDL
     if t.split(".")[0] in ("bronze", "quarantine")
-    or t in ("silver.transactions", "gold.transactions_with_fraud_alerts",
-             "audit.batch_load_history")
+    or t.startswith("audit.")
+    or t in ("silver.transactions", "gold.transactions_with_fraud_alerts")
 )
 
 
-def batch_label(source: str, checkpoint: str, batch_id: int) -> str:
+def batch_label(source: str, query_id: str, batch_id: int) -> str:
     """Partition of one micro-batch: the same for a replay, different for another query."""
-    return f"{source}-{zlib.crc32(checkpoint.encode()):08x}-{batch_id:010d}"
+    return f"{source}-{zlib.crc32(query_id.encode()):08x}-{batch_id:010d}"
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query of a checkpoint when it first started; it stays the same over
+    restarts, and a checkpoint made anew gets another one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
 
 
 class Lakehouse:
@@ -72,15 +81,40 @@ class Lakehouse:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table)).drop(BATCH)
 
-    def stream(self, table: str, max_files: int | None = None) -> DataFrame:
-        """Rows as they are appended. The files are read with the declared schema."""
+    def stream(
+        self, table: str, max_files: int | None = None, arrival: bool = False
+    ) -> DataFrame:
+        """Rows as they are appended. The files are read with the declared schema.
+
+        `arrival` adds `ARRIVAL`, the place of a row's file in the order files are taken up.
+        """
         schema = schema_of(table)
         if table in APPENDED:
             schema = StructType(schema.fields).add(BATCH, StringType())
         reader = self.spark.readStream.format(self.fmt).schema(schema)
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.load(self.location(table)).drop(BATCH)
+        rows = reader.load(self.location(table)).drop(BATCH)
+        return rows.withColumn(ARRIVAL, F.struct(
+            "_metadata.file_modification_time", "_metadata.file_path")) if arrival else rows
+
+    def others(self, table: str, batch: str) -> DataFrame:
+        """Rows of all appended batches but one."""
+        return self.spark.table(self.name(table)).filter(F.col(BATCH) != batch).drop(BATCH)
+
+    def batches(self, table: str) -> list[str]:
+        """Labels of the appended batches a table shows."""
+        shown = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
+        return [row["partition"].removeprefix(f"{BATCH}=") for row in shown]
+
+    def replace(self, table: str, df: DataFrame, batch: str) -> None:
+        """Make `df` the only batch of an appended table."""
+        self.append(table, df, batch)
+        for old in self.batches(table):
+            if old != batch:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} "
+                               f"DROP IF EXISTS PARTITION (`{BATCH}` = '{old}')")
+        self.spark.catalog.refreshTable(self.name(table))
 
     def append(self, table: str, df: DataFrame, batch: str | None = None) -> None:
         """Append rows; with the same `batch` a second time, replace that batch's rows."""
@@ -88,12 +122,12 @@ class Lakehouse:
         if table not in APPENDED:
             rows.write.insertInto(self.name(table))
             return
-        columns = ", ".join(f"`{c}`" for c in rows.columns)
-        # the session of the frame: micro-batches belong to their query's own session
-        rows.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self.name(table)} "
-            f"PARTITION (`{BATCH}` = '{batch or uuid.uuid4().hex}') "
-            f"SELECT {columns} FROM {{rows}}", rows=rows)
+        # written as a folder, so that rows may come from the table's other batches
+        label = batch or uuid.uuid4().hex
+        rows.write.format(self.fmt).mode("overwrite").save(
+            f"{self.location(table)}/{BATCH}={label}")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} "
+                       f"ADD IF NOT EXISTS PARTITION (`{BATCH}` = '{label}')")
         self.spark.catalog.refreshTable(self.name(table))
 
     def batch(self, table: str, batch: str) -> DataFrame:

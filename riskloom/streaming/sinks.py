@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import threading
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 Trigger = dict[str, object]
@@ -32,8 +35,7 @@ def append_to_table(
 ) -> StreamingQuery:
     """Append a stream to a catalogue table, created on first use."""
     return (df.writeStream.format(fmt).outputMode("append")
-            .option("checkpointLocation", checkpoint).option("mergeSchema", "true")
-            .trigger(**trigger).toTable(table))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).toTable(table))
 
 
 def route_batches(
@@ -70,11 +72,44 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows the stateful operators left out because the watermark had passed them.
+class LateRows(StreamingQueryListener):
+    """Counts the rows stateful operators left out because the watermark had passed them.
 
-    Summed over the progress reports Spark keeps (`spark.sql.streaming.numRecentProgressUpdates`).
+    Every progress event of every query is counted, however many reports Spark keeps.
     """
-    return sum(
-        op["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress for op in progress["stateOperators"])
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self._dropped[run] = self._dropped.get(run, 0) + sum(
+            op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def of(self, query: StreamingQuery, patience: float = 60) -> int:
+        """Rows one run of a query dropped. Its end is the last event, so that is waited for."""
+        run = str(query.runId)
+        if not self._ended.setdefault(run, threading.Event()).wait(patience):
+            raise TimeoutError("the end of the query was not reported")
+        return self._dropped.get(run, 0)
+
+
+@contextmanager
+def late_rows(spark: SparkSession) -> Iterator[LateRows]:
+    """Listens while queries run: `with late_rows(spark) as late: ...; late.of(query)`."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
