@@ -8,13 +8,14 @@ from above, and only pairs within the bound are intersected exactly, as sorted a
 Comparing all classes of like size would be quadratic, so tiles are made narrower, without a loss:
 sets that are similar enough share one of the first fifth of their shingles, in any order common to
 all. Very frequent shingles come last in that order. A tile is the classes that share such a
-shingle and whose sizes, once sorted, leave no gap that no link can cross. Equal tiles are one.
+shingle; equal tiles are one, and sizes too far apart for a link are not compared.
 
-A tile compares its members in two rounds. First each member is compared with leaders only; pairs
-within the bound are verified, and components formed. Then members of different components
-are compared. So a group of near copies costs a link per copy, not all its pairs, and no link
-between components is lost. Large tiles are cut into blocks, in the second round into pairs of
-blocks, so that no task holds a whole hot group.
+A tile compares its members by their bitmaps, only across the groups formed so far, and gives the
+edges that join them: at most one per member. The components of these edges are families, outside
+of which no link is possible. The sets of a family are brought together and intersected exactly,
+again only across groups, and what joins the groups are links. So a group of near copies costs an
+edge per copy, not all its pairs, and no connection is lost. Tiles and families of many members are
+cut into blocks, and their pairs of blocks compared by different tasks.
 
 Edge cases: a null text, or one without words, has no shingle and is linked with nothing; one with
 fewer words has its whole sequence as its only shingle. A null doc_id takes part but names no
@@ -24,12 +25,13 @@ are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.bpe import id_text
@@ -39,11 +41,13 @@ from riskloom.operators.bounded import broadcast_if_small
 
 WORDS = 5
 PER_CENT = 80             # link: 100 * intersection >= PER_CENT * union
-BITS_PER_SHINGLE = 8
+BITS_PER_SHINGLE = 4
 CHUNK = 2_000_000         # shingles counted together when frequent ones are looked for
 HEAVY_LIMIT = 1_000_000   # frequent shingles put last, at most; bounds the broadcast (8 MB), and
                           # with it only the speed, as any order gives the same links
-BLOCK = 1024              # members of a tile that are compared in one task
+TILE_BLOCK = 1024         # members of a tile, and of a family, that make a block: a task compares
+FAMILY_BLOCK = 128        # two of them
+SERIALS = 1 << 33         # rows a task may number
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                         0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)  # odd, arbitrary
@@ -82,68 +86,94 @@ def bitmap(values: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def stack(bitmaps: list[bytes]) -> np.ndarray:
-    """Bitmaps as rows of 64-bit words, folded to the width of the smallest."""
-    width = min(map(len, bitmaps)) // 8
+def folded(bitmaps: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps of `width` 64-bit words or a multiple as rows of that width."""
     out = np.empty((len(bitmaps), width), np.uint64)
     for i, b in enumerate(bitmaps):
-        words = np.frombuffer(b, np.uint64)
-        out[i] = words if len(words) == width else np.bitwise_or.reduce(
-            words.reshape(-1, width), axis=0)
+        out[i] = np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, width), axis=0)
     return out
 
 
 class Members:
-    """The members of a tile, by growing set size."""
+    """Sets that are compared with each other, by growing size.
 
-    def __init__(self, nodes: np.ndarray, sizes: np.ndarray, bitmaps: list[bytes]):
-        self.nodes, self.sizes = nodes, sizes
-        self.maps = stack(bitmaps)
-        self.counts = np.bitwise_count(self.maps).sum(axis=1, dtype=np.int64)
+    `shared(one, others)` gives how many shingles the set `one` has in common with each of
+    `others`, at most; these come after it and are no more than a link allows larger.
+    """
+
+    def __init__(self, sizes: np.ndarray, shared: Callable[[int, np.ndarray], np.ndarray]):
+        self.sizes, self.shared = sizes, shared
 
-    def within_bound(self, one: int, others: np.ndarray) -> np.ndarray:
-        """Which of `others` may be linked with `one`: the bits that only one bitmap has are
-        shingles that only one set has."""
+    def near(self, one: int, others: np.ndarray) -> np.ndarray:
         a, b = self.sizes[one], self.sizes[others]
-        common = np.bitwise_count(self.maps[others] & self.maps[one]).sum(axis=1, dtype=np.int64)
-        overlap = np.minimum(a - (self.counts[one] - common), b - (self.counts[others] - common))
-        return others[100 * overlap >= PER_CENT * (a + b - overlap)]
-
-    def reach(self, i: int, end: int) -> int:
-        """Members up to here are small enough for a link with member i, which is no larger."""
-        return int(np.searchsorted(self.sizes[:end], self.sizes[i] * 100 // PER_CENT, "right"))
-
-
-def star_pairs(members: Members) -> Iterator[tuple[int, np.ndarray]]:
-    """(leader, members within its bound): leaders are members that no earlier one reached."""
-    k = len(members.nodes)
-    reached = np.zeros(k, np.bool_)
-    for leader in range(k):
-        if reached[leader]:
-            continue
-        others = np.arange(leader + 1, members.reach(leader, k))
-        others = others[~reached[others]]
-        if len(others):
-            near = members.within_bound(leader, others)
-            reached[near] = True
-            if len(near):
-                yield leader, near
-
-
-def cross_pairs(members: Members, parts: np.ndarray, groups: np.ndarray
-                ) -> Iterator[tuple[int, np.ndarray]]:
-    """(member, later members of other components within its bound); of two different blocks
-    only pairs across them."""
-    k, two = len(members.nodes), parts.min() != parts.max()
-    for one in range(k):
-        others = np.arange(one + 1, members.reach(one, k))
-        others = others[groups[others] != groups[one]]
-        if two:
-            others = others[parts[others] != parts[one]]
-        if len(others):
-            near = members.within_bound(one, others)
-            if len(near):
-                yield one, near
+        both = self.shared(one, others)
+        return others[100 * both >= PER_CENT * (a + b - both)]
+
+    def joins(self, parts: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Pairs that are near enough and join the groups of the pairs before them. If members
+        are of two parts, only pairs across them count."""
+        k, two = len(self.sizes), parts.min() != parts.max()
+        group = np.arange(k)
+        for one in range(k):
+            # those up to here are small enough for a link
+            end = int(np.searchsorted(self.sizes, self.sizes[one] * 100 // PER_CENT, "right"))
+            others = np.arange(one + 1, end)
+            others = others[group[others] != group[one]]
+            if two:
+                others = others[parts[others] != parts[one]]
+            if not len(others):
+                continue
+            near = self.near(one, others)
+            joined, first = np.unique(group[near], return_index=True)
+            group[np.isin(group, joined)] = group[one]
+            for other in near[first]:
+                yield one, int(other)
+
+
+def by_bitmaps(sizes: np.ndarray, bitmaps: list[bytes]) -> Members:
+    """Bits that only one of two bitmaps has are shingles that only one of the sets has.
+
+    Sets near enough in size have bitmaps of one width or of two neighbouring ones, and only
+    those are folded together: a small set doesn't blur the large ones of its tile.
+    """
+    widths = np.array([len(b) // 8 for b in bitmaps])
+    known: dict[int, tuple[int, np.ndarray, np.ndarray]] = {}
+
+    def at_width(width: int) -> tuple[int, np.ndarray, np.ndarray]:
+        if width not in known:
+            begin, end = np.searchsorted(widths, (width, 2 * width + 1))
+            maps = folded(bitmaps[begin:end], width)
+            known[width] = begin, maps, np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        return known[width]
+
+    def shared(one: int, others: np.ndarray) -> np.ndarray:
+        begin, maps, counts = at_width(int(widths[one]))
+        mine, theirs = one - begin, others - begin
+        common = np.bitwise_count(maps[theirs] & maps[mine]).sum(axis=1, dtype=np.int64)
+        return np.minimum(sizes[one] - (counts[mine] - common),
+                          sizes[others] - (counts[theirs] - common))
+
+    return Members(sizes, shared)
+
+
+def by_shingles(arrays: list[np.ndarray]) -> Members:
+    """Exact intersections of sorted arrays; shingles are numbered within the group first."""
+    sizes = np.array([len(a) for a in arrays])
+    ends = np.cumsum(sizes)
+    values, number = np.unique(np.concatenate(arrays), return_inverse=True)
+    has = np.zeros(len(values), np.bool_)
+
+    def shared(one: int, others: np.ndarray) -> np.ndarray:
+        mine = number[ends[one] - sizes[one]:ends[one]]
+        has[mine] = True
+        size = sizes[others]
+        starts = np.cumsum(size) - size
+        at = np.arange(size.sum()) + np.repeat(ends[others] - size - starts, size)
+        both = np.add.reduceat(has[number[at]], starts, dtype=np.int64)
+        has[mine] = False
+        return both
+
+    return Members(sizes, shared)
 
 
 def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
@@ -199,10 +229,11 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """doc_id, n, fp (128-bit hash of the set), bitmap, anchors; one row per document."""
+    """serial, doc_id, n, fp (128-bit hash of the set), bitmap, anchors; one row per document."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serial = TaskContext.get().partitionId() * SERIALS
         for batch in batches:
             n, fp, maps, anchors, ends = [], [], [], [], [0]
             for text in batch.column(1).to_pylist():
@@ -216,30 +247,29 @@ def shingle_sets(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                 anchors.append(first)
                 ends.append(ends[-1] + len(first))
             flat = np.concatenate(anchors) if anchors else np.zeros(0, np.uint64)
+            serials = pa.array(np.arange(serial, serial + len(n)))
+            serial += len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
+                [serials, batch.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
                  pa.array(maps, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                           pa.array(flat.view(np.int64)))],
-                ["doc_id", "n", "fp", "bitmap", "anchors"])
+                ["serial", "doc_id", "n", "fp", "bitmap", "anchors"])
 
     return id_text(docs).mapInArrow(
-        run, "doc_id bigint, n bigint, fp binary, bitmap binary, anchors array<bigint>")
+        run, "serial bigint, doc_id bigint, n bigint, fp binary, bitmap binary, anchors array<bigint>")
 
 
-def tiles(classes: DataFrame) -> DataFrame:
-    """tile, k (members), node: each different list of members once."""
+def tiles(anchors: DataFrame) -> DataFrame:
+    """tile, k (members), node from node, anchor: each different list of members once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(batches)
         if table is None:
             return
-        anchor, node, n = (table.column(c).to_numpy() for c in ("anchor", "node", "n"))
-        order = np.lexsort((node, n, anchor))
-        anchor, node, n = anchor[order], node[order], n[order]
-        # no link reaches across a gap in sizes, so the tile may end there
-        gap = np.zeros(len(n), np.int64)
-        gap[1:] = np.cumsum(100 * n[:-1] < PER_CENT * n[1:])
-        starts = _starts(anchor, gap)
+        anchor, node = table.column("anchor").to_numpy(), table.column("node").to_numpy()
+        order = np.lexsort((node, anchor))
+        anchor, node = anchor[order], node[order]
+        starts = _starts(anchor)
         k = np.diff(starts)
         tile = np.add.reduceat(mix(node.view(np.uint64) + np.uint64(1)), starts[:-1])
         keep = np.flatnonzero(k > 1)
@@ -250,122 +280,99 @@ def tiles(classes: DataFrame) -> DataFrame:
             [pa.array(np.repeat(tile[keep], size).view(np.int64)),
              pa.array(np.repeat(size, size)), pa.array(node[at])], ["tile", "k", "node"])
 
-    rows = classes.select("node", "n", F.explode("anchors").alias("anchor"))
-    return rows.repartition("anchor").mapInArrow(
+    return anchors.repartition("anchor").mapInArrow(
         run, "tile bigint, k bigint, node bigint").dropDuplicates(["tile", "node"])
 
 
-def candidates(members: DataFrame, second: bool) -> DataFrame:
-    """Pairs (a, b) of nodes within the bound, from rows of tile, part, node, n, bitmap; in the
-    second round also block and component. a < b; with the tile that gave them."""
+def block_pairs(rows: DataFrame, group: str, members: Column, size: int) -> DataFrame:
+    """`rows` with block and part: a part is two blocks of a group, or all of a group of no more
+    than `size` members. A row comes once for each part that has its block."""
+    blocks = F.ceil(members / size)
+    cut = rows.withColumn("block", F.pmod(F.xxhash64("node", group), blocks))
+    whole = cut.where(blocks == 1).withColumn("part", F.lit(0).cast("bigint"))
+    paired = cut.where(blocks > 1).withColumn("part", F.explode(F.transform(
+        F.sequence(F.lit(0).cast("bigint"), blocks - 1),
+        lambda x: F.least(x, F.col("block")) * blocks + F.greatest(x, F.col("block")))))
+    return whole.union(paired)
+
+
+def joining_pairs(rows: DataFrame, group: str, column: str) -> DataFrame:
+    """Pairs (a, b) of nodes that join the members of each part, from rows of group, part, block,
+    node, and n and bitmap or shingles."""
+    exact = column == "shingles"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(batches)
         if table is None:
             return
-        tile, part, node, n = (table.column(c).to_numpy() for c in ("tile", "part", "node", "n"))
-        order = np.lexsort((node, n, part, tile))
-        starts = _starts(tile[order], part[order])
-        maps = table.column("bitmap")
-        if second:
-            block, group = (table.column(c).to_numpy() for c in ("block", "component"))
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        key, part, block, node, n = (
+            table.column(c).to_numpy() for c in (group, "part", "block", "node", "n"))
+        order = np.lexsort((node, n, part, key))
+        starts, data = _starts(key[order], part[order]), table.column(column)
+        a, b = [], []
         for begin, end in zip(starts, starts[1:], strict=False):
             if end - begin < 2:
                 continue
             rows = order[begin:end]
-            group_members = Members(node[rows], n[rows], maps.take(rows).to_pylist())
-            found = cross_pairs(group_members, block[rows], group[rows]) if second else star_pairs(
-                group_members)
-            for one, near in found:
-                a, b = np.full(len(near), node[rows[one]]), node[rows[near]]
-                out.append((np.minimum(a, b), np.maximum(a, b),
-                            np.full(len(near), tile[rows[one]])))
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "tile"])
-
-    return members.repartition("tile", "part").mapInArrow(run, "a bigint, b bigint, tile bigint")
+            held = data.take(rows).to_pylist()
+            members = by_shingles([np.frombuffer(x, np.uint64) for x in held]) if exact else (
+                by_bitmaps(n[rows], held))
+            for one, other in members.joins(block[rows]):
+                a.append(node[rows[one]])
+                b.append(node[rows[other]])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
+    columns = [group, "part", "block", "node", "n", column]
+    return rows.select(*columns).repartition(group, "part").mapInArrow(run, "a bigint, b bigint")
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough, intersected exactly.
 
-    Only documents that stand for a node of a pair are read again.
-    """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = broadcast_if_small(written(
-        classes.select("node", "doc_id", "fp").join(nodes, "node"), "near-wanted"))
+def shingle_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """family, k, node, n, shingles for rows of node, fp, doc_id, family, k; only documents that
+    stand for a wanted node are read again."""
     texts = id_text(docs).withColumnRenamed("doc_id", "id").join(
-        wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "fp", "text")
+        broadcast_if_small(wanted), F.col("id").eqNullSafe(F.col("doc_id"))).select(
+        "family", "k", "node", "fp", "text")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, fp, text = (c.to_pylist() for c in batch.columns)
+            fp, text = batch.column("fp").to_pylist(), batch.column("text").to_pylist()
+            sets = [shingles(t) for t in text]
             # a doc_id may be repeated with another text
-            own = [(i, v) for i, f, t in zip(node, fp, text, strict=True)
-                   if xxhash.xxh3_128_digest(v := shingles(t)) == f]
+            keep = pa.array([xxhash.xxh3_128_digest(v) == f
+                             for v, f in zip(sets, fp, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in own], pa.int64()),
-                 pa.array([v.tobytes() for _, v in own], pa.binary())], ["node", "shingles"])
+                [batch.column("family"), batch.column("k"), batch.column("node"),
+                 pa.array([len(v) for v in sets], pa.int64()),
+                 pa.array([v.tobytes() for v in sets], pa.binary())],
+                ["family", "k", "node", "n", "shingles"]).filter(keep)
 
-    held = written(texts.mapInArrow(sets, "node bigint, shingles binary"), "near-arrays")
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(),
-                            strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = int(_in_sorted(x, y).sum())
-                keep.append(100 * both >= PER_CENT * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a"
-                        ).join(held.select(F.col("node").alias("b"),
-                                           F.col("shingles").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(linked, "a bigint, b bigint")
+    return texts.mapInArrow(run, "family bigint, k bigint, node bigint, n bigint, shingles binary")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id; one row per document."""
     sets = written(shingle_sets(docs, frequent_shingles(docs)), "near-sets")
+    # the row with the smallest number stands for all rows of its class
     classes = written(sets.where("n > 0").groupBy("fp").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-        F.first("bitmap").alias("bitmap"), F.first("anchors").alias("anchors")).withColumn(
-        "node", F.monotonically_increasing_id()), "near-classes")
-    narrow = classes.select("node", "n", "bitmap")
-    tiled = written(tiles(classes), "near-tiles")
-
-    blocks = F.ceil(F.col("k") / BLOCK)
-    block = F.pmod(F.xxhash64("node", "tile"), blocks)
-    first = written(candidates(tiled.withColumn("part", block).join(narrow, "node").select(
-        "tile", "part", "node", "n", "bitmap"), second=False), "near-first")
-    links = written(verified(docs, classes, first.select("a", "b").distinct().transform(
-        lambda p: written(p, "near-pairs"))), "near-links")
+        F.min("doc_id").alias("doc_id"), F.min("serial").alias("node")), "near-classes")
+    own = sets.join(broadcast_if_small(classes.select("node")), F.col("serial") == F.col("node"))
+    tiled = written(tiles(own.select("node", F.explode("anchors").alias("anchor"))), "near-tiles")
+
+    bounded = written(joining_pairs(block_pairs(
+        tiled.join(own.select("node", "n", "bitmap"), "node"), "tile", F.col("k"), TILE_BLOCK),
+        "tile", "bitmap"), "near-bounded")
+    families = written(components(bounded, "a", "b").withColumnRenamed("component", "family"),
+                       "near-families")
+    sizes = written(families.groupBy("family").agg(F.count("*").alias("k")), "near-sizes")
+    wanted = written(classes.join(families, "node").join(broadcast_if_small(sizes), "family"),
+                     "near-wanted")
+    links = written(joining_pairs(block_pairs(
+        shingle_arrays(docs, wanted), "family", F.col("k"), FAMILY_BLOCK),
+        "family", "shingles"), "near-links")
     groups = written(components(links, "a", "b"), "near-groups")
 
-    # what the first round left out: pairs of which one was reached by a leader, and of two blocks
-    grouped = tiled.join(groups, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    several = grouped.groupBy("tile").agg(
-        (F.min("component") < F.max("component")).alias("several"), F.first("k").alias("k")).where(
-        "several")
-    undone = several.where(F.col("k") > BLOCK).select("tile").union(several.join(
-        first.select("tile").distinct(), "tile").select("tile")).distinct()
-    again = grouped.join(undone, "tile").join(narrow, "node").withColumn("block", block)
-    whole = again.where(F.col("k") <= BLOCK).withColumn("part", F.lit(0).cast("bigint"))
-    paired = again.where(F.col("k") > BLOCK).withColumn("part", F.explode(F.transform(
-        F.sequence(F.lit(0).cast("bigint"), blocks - 1),
-        lambda x: F.least(x, F.col("block")) * blocks + F.greatest(x, F.col("block")))))
-    columns = ["tile", "part", "node", "n", "bitmap", "block", "component"]
-    second = written(candidates(
-        whole.select(*columns).union(paired.select(*columns)), second=True).select(
-        "a", "b").distinct(), "near-second")
-    if not second.isEmpty():
-        more = written(verified(docs, classes, second), "near-links")
-        groups = written(components(links.union(more), "a", "b"), "near-groups")
-
-    named = classes.select("node", "fp", "doc_id").join(groups, "node", "left").withColumn(
+    named = classes.join(groups, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     ids = written(named.groupBy("component").agg(F.min("doc_id").alias("component_id")),
                   "near-ids")

@@ -60,7 +60,8 @@ def test_jaccard_join(request, docs):
 def test_chain_star_and_shared_passage(spark, monkeypatch):
     """Near copies that only a third document connects, and passages in unlike documents, with
     tiles cut into several blocks."""
-    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    monkeypatch.setattr(jaccard_join, "TILE_BLOCK", 4)
+    monkeypatch.setattr(jaccard_join, "FAMILY_BLOCK", 3)
     base = words(10, 300).split()
     rows = []
     for k in range(30):  # each differs from the next in a few places, from the first in many
@@ -82,14 +83,16 @@ def test_chain_star_and_shared_passage(spark, monkeypatch):
 def test_bitmaps_bound_the_overlap():
     draw = np.random.default_rng(0)
     for _ in range(200):
-        n, m = draw.integers(5, 200, 2)
+        n = int(draw.integers(5, 200))
+        m = int(n * draw.uniform(1, 1.25))
         pool = draw.integers(0, 1 << 63, 400, dtype=np.uint64)
         x, y = np.unique(draw.choice(pool, n)), np.unique(draw.choice(pool, m))
-        pair = jaccard_join.Members(np.arange(2), np.array([len(x), len(y)]),
-                                    [jaccard_join.bitmap(x), jaccard_join.bitmap(y)])
         both = len(np.intersect1d(x, y))
-        if 100 * both >= 80 * (len(x) + len(y) - both):
-            assert len(pair.within_bound(0, np.array([1]))) == 1
+        x, y = sorted((x, y), key=len)
+        sizes, one = np.array([len(x), len(y)]), np.array([1])
+        bound = jaccard_join.by_bitmaps(sizes, [jaccard_join.bitmap(x), jaccard_join.bitmap(y)])
+        assert bound.shared(0, one)[0] >= both
+        assert jaccard_join.by_shingles([x, y]).shared(0, one)[0] == both
 
 
 def test_components(spark):
