@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: white space and the pattern of pieces of each pre-tokenizer
-SPACE = r"[\t-\r \x85\xa0  -     　]"
+SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NO_SPACE = SPACE[:1] + "^" + SPACE[1:]
 BYTE_LEVEL = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?" + SPACE[:1] + r"^\p{L}\p{N}" + SPACE[1:]
     + "+|" + SPACE + "+(?!" + NO_SPACE + ")|" + SPACE + "+")
 
-END = ""          # stands for the word-end suffix, as one symbol
-CACHED_WORDS = 700_000  # distinct words, and pieces, a worker remembers before it starts anew
+PAIR = 1 << 20  # more than tokens in a vocabulary
+END = "\ue000"  # stands for the word-end suffix, as one symbol
+CACHED_WORDS = 500_000  # distinct words, and pieces, of which a worker remembers up to twice as many
 
 
 def _byte_symbols() -> list[str]:
@@ -47,15 +48,20 @@ def _byte_symbols() -> list[str]:
 
 
 class Memo(dict):
-    """What `make` gives for each key asked for; starts anew beyond `CACHED_WORDS` keys."""
+    """What `make` gives for each key asked for. At `CACHED_WORDS` keys the older ones step back
+    and stay only if they are asked for again before the next turn, so frequent words are kept."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) > CACHED_WORDS:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -141,10 +147,7 @@ class Encoder:
         Goes back in time: undo the later of the two merges, and see whether the symbols that
         then met at the border would have merged earlier.
         """
-        known = self.pairs.get((a, b))
-        if known is not None:
-            return known
-        key, limit, verdict = (a, b), len(self.ids), None
+        key, limit, verdict = a * PAIR + b, len(self.ids), None
         while verdict is None:
             across = self.merged.get((a, b))
             if across is not None and across < limit:
@@ -162,27 +165,32 @@ class Encoder:
 
     def merge_piece(self, symbols: str) -> list[int]:
         """Ids of one piece, given as symbols."""
-        n = len(symbols)
-        longest = [-1] * n
+        n, length, pairs = len(symbols), self.length, self.pairs
+        longest = [-1] * n + [0]
         for end, token in self.automaton.iter(symbols):  # at equal starts the longer ends later
-            longest[end - self.length[token] + 1] = token
+            longest[end - length[token] + 1] = token
         taken: list[int] = []
         given_up = set()
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < n:
-            end = at + self.length[token]
-            if end not in given_up and (end == n or longest[end] >= 0) and (
-                    not taken or self.compatible(taken[-1], token)):
+            end = at + length[token]
+            fits = longest[end] >= 0 and end not in given_up
+            if fits and last >= 0:
+                fits = pairs.get(last * PAIR + token)
+                if fits is None:
+                    fits = self.compatible(last, token)
+            if fits:
                 taken.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                at, last, token = end, token, longest[end]
             elif self.shorter[token] >= 0:
                 token = self.shorter[token]
             else:
                 given_up.add(at)
                 token = taken.pop()
-                at -= self.length[token]
-        return [self.ids[t] for t in taken]
+                at -= length[token]
+                last = taken[-1] if taken else -1
+        ids = self.ids
+        return [ids[t] for t in taken]
 
     def _piece(self, piece: str) -> bytes:
         symbols = piece.encode().decode("latin-1").translate(self.to_symbols)
