@@ -35,6 +35,7 @@ BYTE_LEVEL = (
     + "+|" + SPACE + "+(?!" + NO_SPACE + ")|" + SPACE + "+")
 
 PAIR = 1 << 20  # more than tokens in a vocabulary
+PRIVATE = "\ue001"  # a character that is no letter, digit or white space
 END = "\ue000"  # stands for the word-end suffix, as one symbol
 CACHED_WORDS = 500_000  # distinct words, and pieces, of which a worker remembers up to twice as many
 
@@ -110,6 +111,12 @@ class Encoder:
         self.split_added = regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.pieces, self.space = self._pre_tokenizer(conf["pre_tokenizer"])
+        # letters and digits of a newer Unicode are neither for the library
+        unassigned = "".join(c for c in map(chr, range(0x80, 0x110000))
+                             if unicodedata.category(c) == "Cn")
+        newer = regex.findall(r"[\p{L}\p{N}]", unassigned)
+        self.newer = dict.fromkeys(map(ord, newer), PRIVATE)
+        self.has_newer = regex.compile("[" + "".join(newer) + "]") if newer else None
         self.separators = re.compile("[\x1c-\x1f]")
         self.lower = conf["normalizer"] is not None
         self._offsets(model["vocab"], byte_symbol, joined=conf["decoder"] is None)
@@ -197,7 +204,11 @@ class Encoder:
         return array("I", self.merge_piece(symbols + END if self.suffix else symbols)).tobytes()
 
     def _word(self, word: str) -> bytes:
-        return b"".join(map(self.known_pieces.__getitem__, self.pieces.findall(word)))
+        pieces = self.pieces.findall(word)
+        if self.has_newer and not word.isascii() and self.has_newer.search(word):
+            plain = self.pieces.finditer(word.translate(self.newer))
+            pieces = [word[m.start():m.end()] for m in plain]
+        return b"".join(map(self.known_pieces.__getitem__, pieces))
 
     def _segment(self, text: str) -> bytes:
         """Ids of a text without added tokens, as little-endian 32-bit numbers."""
