@@ -19,7 +19,8 @@ def keep_by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_documents(docs)
+    # copies are still there and would make their own lines boilerplate
+    return line_dedup.dedup_documents(docs, by_text=True)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,9 @@ each page is then filtered in its own row.
 
 Edge cases: a null text has no lines and stays null; blank lines are never boilerplate and stay.
 A null host is a host of its own. A line counts once per page. Repeated rows are pages of their
-own. Lines are compared exactly. Other columns are kept as they are. A page may end up empty.
+own, unless `by_text` counts pages of equal text once: then a group of copies is no boilerplate,
+however large, and is left whole for the deduplication that follows. Lines are compared exactly.
+Other columns are kept as they are. A page may end up empty.
 """
 
 from __future__ import annotations
@@ -28,13 +30,16 @@ def _has_word(line: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float,
-                min_pages: int) -> DataFrame:
+                min_pages: int, by_text: bool = False) -> DataFrame:
     """One row per host that has any: the host and the digests of its boilerplate lines."""
     lines = F.array_distinct(F.filter(F.split(text, "\n"), _has_word))
-    each = pages.select(host.alias(HOST), lines.alias("lines"))
-    totals = each.groupBy(HOST).agg(F.count("*").alias("pages"))
-    counts = each.select(HOST, F.explode("lines").alias("line")).groupBy(
-        HOST, F.unhex(F.md5("line")).alias("digest")).agg(F.count("*").alias("n"))
+    whole = F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+    each = pages.select(host.alias(HOST), lines.alias("lines"),
+                        *([whole.alias("whole")] if by_text else []))
+    number = F.count_distinct("whole") if by_text else F.count("*")
+    totals = each.groupBy(HOST).agg(number.alias("pages"))
+    counts = each.withColumn("line", F.explode("lines")).groupBy(
+        HOST, F.unhex(F.md5("line")).alias("digest")).agg(number.alias("n"))
     # hosts are fewer than lines: the totals come to the counts, not the other way
     common = counts.where(F.col("n") >= min_pages).join(broadcast_if_small(totals), HOST).where(
         F.col("n") > ratio * F.col("pages"))
@@ -43,11 +48,11 @@ def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float,
 
 
 def drop_boilerplate(pages: DataFrame, host: Column, text: str, ratio: float = 0.1,
-                     min_pages: int = 5) -> DataFrame:
+                     min_pages: int = 5, by_text: bool = False) -> DataFrame:
     """`pages` with `text` rid of boilerplate lines, and n_dropped, the number of lines gone."""
     host = F.coalesce(host.cast("string"), F.lit(""))
     listed = broadcast_if_small(written(
-        boilerplate(pages, host, F.col(text), ratio, min_pages), "line-boilerplate"))
+        boilerplate(pages, host, F.col(text), ratio, min_pages, by_text), "line-boilerplate"))
     joined = pages.withColumn(HOST, host).join(listed, HOST, "left")
     lines = F.split(F.col(text), "\n")
     # what of the list occurs here is found by hashing, whatever the list's length
@@ -93,9 +98,10 @@ def dedup_pages(pages: DataFrame, ratio: float = 0.1, min_pages: int = 5) -> Dat
     return out.select("page_id", "host", "n_lines", "n_dropped", "text")
 
 
-def dedup_documents(docs: DataFrame, ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def dedup_documents(docs: DataFrame, ratio: float = 0.1, min_pages: int = 5,
+                    by_text: bool = False) -> DataFrame:
     """Documents with their source as host; n_chars follows the text, other columns stay."""
-    out = drop_boilerplate(docs, F.col("source"), "text", ratio, min_pages)
+    out = drop_boilerplate(docs, F.col("source"), "text", ratio, min_pages, by_text)
     if "n_dropped" in docs.columns:
         raise ValueError("the column n_dropped is this operator's own")
     if "n_chars" in docs.columns:

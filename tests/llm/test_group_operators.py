@@ -232,6 +232,23 @@ def test_pipeline(spark, marks, edge, empty, tmp_path):
             rows is edge)
 
 
+def test_line_stage_leaves_large_groups_of_copies_whole(spark):
+    copy = "\n".join(words(900 + k, 20) for k in range(5))
+    rows = [(i, copy, "en", "hot", len(copy)) for i in range(40)]
+    for i in range(40, 120):
+        text = "subscribe to our letter\n" + words(i, 60)
+        rows.append((i, text, "en", "hot", len(text)))
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    name, stage = corpus_pipeline.STAGES[1]
+    after = stage(spark, docs, "")
+    assert name == "line dedup" and after.columns == docs.columns
+    got = {r.doc_id: r.text for r in after.collect()}
+    assert got == {i: t if i < 40 else t.split("\n")[1] for i, t, *_ in rows}
+    kept = jaccard_join.one_of_each(after).collect()
+    assert [r.text for r in kept if r.doc_id < 40] == [copy] and len(kept) == 81
+
+
 def test_without_the_subpackage_the_rest_still_imports():
     code = ("import sys, importlib.abc\n"
             "class Gone(importlib.abc.MetaPathFinder):\n"
