@@ -33,10 +33,11 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "novel")
 
 SENSITIVE = re.compile(
-    r"(?:key|auth|bearer|credential|passphrase|passcode|pwd|private|signature|secret|token|session)",
+    r"(?:key|auth|bearer|credential|pass(?:word|wd)|passphrase|passcode|pwd|private|signature|secret"
+    r"|token|session)",
     re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-REACH = 64            # code points around a sensitive word, and around a candidate
+REACH = 64            # code points from a sensitive word to the nearer end, and around a candidate
 LEAST_NOVELTY = 0.8   # marginal bytes per byte of the candidate
 
 # what a primed dictionary explains: alphabets, placeholders, identifiers
@@ -89,20 +90,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of incompressible strings in a sensitive context, off the base spans."""
-    spans, done = [], 0
-    for word in SENSITIVE.finditer(text):
-        at = max(done, word.start() - REACH)
-        for m in CANDIDATE.finditer(text, at):
-            if m.start() > word.end() + REACH:
-                break
-            if at and m.start() == at and CANDIDATE.match(text[at - 1] * 20):
-                continue  # the rest of a longer string that begins before the context
-            done = m.end()
-            if not _mixed(m[0]) or any(s < m.end() and m.start() < e for s, _, e in base):
-                continue
-            before, after = text[max(0, m.start() - REACH):m.start()], text[m.end():m.end() + REACH]
-            if novelty(m[0], before, after) >= LEAST_NOVELTY:
-                spans.append((m.start(), 3, m.end()))
+    words = [(m.start(), m.end()) for m in SENSITIVE.finditer(text)]
+    spans, k = [], 0
+    for m in CANDIDATE.finditer(text) if words else ():
+        # neither words nor candidates overlap their like, so both are in order of their ends
+        while k < len(words) and words[k][1] + REACH < m.start():
+            k += 1
+        if k == len(words):
+            break
+        if words[k][0] > m.end() + REACH:
+            continue
+        if not _mixed(m[0]) or any(s < m.end() and m.start() < e for s, _, e in base):
+            continue
+        before, after = text[max(0, m.start() - REACH):m.start()], text[m.end():m.end() + REACH]
+        if novelty(m[0], before, after) >= LEAST_NOVELTY:
+            spans.append((m.start(), 3, m.end()))
     return spans
 
 

@@ -1,7 +1,9 @@
 """Operators on single texts, against plain Python and the tokenizers library."""
 
 import hashlib
+import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -180,6 +182,28 @@ def test_novel_strings(text, found):
     assert secret_scan._joined(secret_scan.all_spans(text)[1]) == found
 
 
+KEY = "9f8G7h6J5k4L3m2N1b0VxZqTy"
+LONG = hashlib.shake_256(b"long").hexdigest(50).upper()
+
+
+@pytest.mark.parametrize("text, found", [
+    (f"password => '{KEY}'", "novel:13:38"), (f"run --password {KEY}", "novel:15:40"),
+    (f"passwd({KEY})", "novel:7:32"), (f"the PassWord is {KEY}", "novel:16:41"),
+    ("Zq" + LONG + " # auth token", ""),                   # hexadecimal compresses
+    (4 * KEY[:5] + " nothing", ""), (KEY + " " * 65 + "auth", ""),
+    (KEY + " " * 64 + "auth", "novel:0:25"), ("auth" + " " * 64 + KEY, "novel:68:93"),
+    ("auth" + " " * 65 + KEY, "")])
+def test_novel_strings_near_passwords_and_by_their_nearer_end(text, found):
+    assert secret_scan._joined(secret_scan.all_spans(text)[1]) == found
+
+
+@pytest.mark.parametrize("n", [50, 100, 500])
+def test_novel_strings_of_any_length_before_the_word(n):
+    draw = random.Random(n)
+    key = "".join(draw.choice(string.ascii_letters + string.digits) for _ in range(n))
+    assert secret_scan._joined(secret_scan.all_spans(key + " # auth token")[1]) == f"novel:0:{n}"
+
+
 @pytest.mark.parametrize("docs", ["edge", "small", "empty"])
 def test_classifier_scores_every_document(request, docs, marks):
     docs = request.getfixturevalue(docs)
