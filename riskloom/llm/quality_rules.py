@@ -26,7 +26,7 @@ WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS, MARKS, UPPER = r"[#*$%&|<>]", "[!?]", r"\p{Lu}"
 FEATURES = ("symbol_share", "repeat_share", "upper_share", "mark_share", "dup_line_share",
             "mean_word_chars")
-LEVELS = [k / 20 for k in range(1, 20)]  # quantiles taken as candidate thresholds
+LEVELS = [k / 100 for k in range(101)]  # quantiles of bad and of good rows between thresholds
 
 
 def let(value: Column, body) -> Column:
@@ -153,6 +153,16 @@ def halfway(quantiles: list[float]) -> list[float]:
     return [(a + b) / 2 for a, b in zip(steps, steps[1:], strict=False)]
 
 
+def _bin(feature: str, cuts: list[float]) -> Column:
+    """How many of the ascending `cuts` the value exceeds, by halving."""
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    listed = ", ".join(f"double('{c!r}')" for c in cuts)
+    return F.expr(
+        f"aggregate(array({', '.join(map(str, steps))}), 0, (at, step) -> if("
+        f"at + step <= {len(cuts)} and {feature} > get(array({listed}), at + step - 1), "
+        "at + step, at))" if cuts else "0")
+
+
 def _gain(before: tuple[int, int], after: tuple[int, int]) -> float:
     """Information that a literal adds about the bad rows it still covers."""
     if not after[0]:
@@ -165,21 +175,24 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_literals: int = 3,
     """A decision list from rows of `FEATURES`, bad (boolean) and prune (boolean).
 
     A rule stays if, on rows kept for pruning, at least `support` are covered and `precision`
-    of them are bad. Every step is one aggregate over the rows that earlier rules left.
+    of them are bad. A literal is chosen by two aggregates over the rows that earlier rules left and
+    the growing rule covers: quantiles of its bad and good rows apart, so that a rare class has
+    thresholds among its own values, then counts between the thresholds.
     """
-    cut = labelled.agg(*[F.percentile_approx(f, LEVELS, 10_000).alias(f) for f in FEATURES]).first()
-    cuts = {f: halfway(cut[f] or []) for f in FEATURES}
     values = {f: F.col(f) for f in FEATURES}
-    bins = F.explode(F.array(*[F.struct(
-        F.lit(f).alias("feature"),
-        sum([(values[f] > t).cast("int") for t in cuts[f]], F.lit(0)).alias("bin"))
-        for f in FEATURES]))
     grown, left = DecisionList(), labelled
     while len(grown.rules) < max_rules:
         rule: tuple[Literal, ...] = ()
         while len(rule) < max_literals:
-            counts = left.where(~F.col("prune") & all_of(rule, values)).select("bad", bins).groupBy(
-                "col.feature", "col.bin").agg(
+            covers = left.where(~F.col("prune") & all_of(rule, values))
+            steps = covers.groupBy("bad").agg(*[
+                F.percentile_approx(f, LEVELS, 10_000).alias(f) for f in FEATURES]).collect()
+            if not any(r["bad"] for r in steps):
+                break
+            cuts = {f: halfway([x for r in steps for x in r[f] or []]) for f in FEATURES}
+            bins = F.explode(F.array(*[F.struct(
+                F.lit(f).alias("feature"), _bin(f, cuts[f]).alias("bin")) for f in FEATURES]))
+            counts = covers.select("bad", bins).groupBy("col.feature", "col.bin").agg(
                 F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")).collect()
             best, best_gain, before = None, 0.0, (0, 0)
             for f in FEATURES:

@@ -148,6 +148,37 @@ def test_rules_are_learned_grown_and_pruned(spark):
         ("symbol_share", True), ("upper_share", True)}
 
 
+@pytest.mark.parametrize("every", [100, 28, 10])
+def test_a_rare_bad_class_is_found(spark, every):
+    draw = np.random.default_rng(every)
+    bad = np.arange(3000) % every == 0
+    noise = draw.uniform(0, 1, (3000, len(quality_rules.FEATURES)))
+    noise[:, 0] = np.where(bad, draw.uniform(0.2, 0.9, 3000), draw.uniform(0, 0.15, 3000))
+    rows = [(*map(float, x), bool(b), k % 3 == 0) for k, (x, b) in enumerate(zip(
+        noise, bad, strict=True))]
+    names = ", ".join(f"{f} double" for f in quality_rules.FEATURES)
+    found = quality_rules.learn(spark.createDataFrame(rows, f"{names}, bad boolean, prune boolean"))
+    assert len(found.rules) == 1
+    (rule,) = found.rules[0]
+    assert (rule.feature, rule.above) == ("symbol_share", True) and 0.15 < rule.threshold < 0.25
+
+
+def test_thresholds_are_taken_again_inside_a_rule(spark):
+    """Bad rows that only lie apart among the few rows that the first literal covers."""
+    draw = np.random.default_rng(3)
+    x, y = draw.uniform(0, 1, (2, 6000))
+    bad = (x > 0.95) & (y > 0.6) & (y < 0.9)
+    rows = [(float(a), 0.0, float(b), 0.0, 0.0, 5.0, bool(c), k % 3 == 0)
+            for k, (a, b, c) in enumerate(zip(x, y, bad, strict=True))]
+    names = ", ".join(f"{f} double" for f in quality_rules.FEATURES)
+    table = spark.createDataFrame(rows, f"{names}, bad boolean, prune boolean")
+    rules = quality_rules.learn(table)
+    hit = rules.rule_number({f: quality_rules.F.col(f) for f in quality_rules.FEATURES}) > 0
+    got = table.select("bad", hit.alias("hit")).collect()
+    assert sum(r.hit and r.bad for r in got) >= 0.9 * bad.sum()
+    assert sum(r.hit and not r.bad for r in got) <= 0.1 * bad.sum()
+
+
 @pytest.mark.parametrize("docs", ["edge", "small", "empty"])
 def test_secret_scan(request, docs):
     docs = request.getfixturevalue(docs)
