@@ -1,7 +1,8 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory.
 
 Every sentence or line of a text that speaks of a licence is compared with the templates, in its
-own row: sorted terms give term counts, and weights come from maps of the few template terms. The
+own row, and so are the sentences of its paragraphs once comment marks are gone and wrapped lines
+are joined, whatever the width they were wrapped at: sorted terms give term counts, and weights come from maps of the few template terms. The
 best template at or above the threshold is the file's own licence. A file without one takes that of
 the nearest directory at or above its own with a licensed licence file: the ancestors of each
 distinct directory are joined with the licensed directories by path.
@@ -50,8 +51,23 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
     ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
 ]
+# whole sentences, compared with joined lines only
+JOINED_TEMPLATES = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+            "software and associated documentation files (the \"Software\"), to deal in the "
+            "Software without restriction, including without limitation the rights to use, copy, "
+            "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+            "and to permit persons to whom the Software is furnished to do so, subject to the "
+            "following conditions"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, "
+                "v. 2.0"),
+]
 SPEAKS_OF = r"(?i)licen[cs]|spdx|redistribut|hereby granted|public domain"
 UNIT_END = r"[.!?;]*[ \t\r]*\n|[.!?;][ \t]+"
+# of the joined form: what begins and ends a line, a line's end inside a paragraph, a unit's end
+LINE_START = r"(?mid)^[ \t]*(?:[/#*;%!>|]+|--+|<!--+|dnl[ \t]|rem[ \t])?[ \t]*"
+LINE_STOP = r"(?md)[ \t\r]*(?:\*+/|--+>|[*#|]+)?[ \t\r]*$"
+WRAPPED, JOINED_END = r"(?<!\n)\n(?!\n)", r"\n+|(?<![ ,]v)[.!?;][ \t]+"
 TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 THRESHOLD = 0.75
@@ -69,6 +85,24 @@ def template_terms() -> tuple[dict[str, float], float, list[dict[str, float]]]:
         {t: w / n for t, w in v.items()} for v, n in zip(vectors, lengths, strict=True)]
 
 
+def joined_terms() -> list[dict[str, float]]:
+    """The terms of the joined templates, weighted as those of any text."""
+    weight, other, _ = template_terms()
+    out = []
+    for _, text in JOINED_TEMPLATES:
+        vector = {t: n * weight.get(t, other)
+                  for t, n in Counter(re.findall(TERM, text.lower())).items()}
+        length = sqrt(sum(w * w for w in vector.values()))
+        out.append({t: w / length for t, w in vector.items()})
+    return out
+
+
+def joined_lines(text: Column) -> Column:
+    """The text without comment marks, a line per paragraph, empty lines between."""
+    bare = F.regexp_replace(F.regexp_replace(text, LINE_START, ""), LINE_STOP, "")
+    return F.regexp_replace(bare, WRAPPED, " ")
+
+
 def _lookup(table: dict[str, float], term: Column, other: float) -> Column:
     literal = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
     return F.coalesce(F.try_element_at(literal, term), F.lit(other))
@@ -76,7 +110,9 @@ def _lookup(table: dict[str, float], term: Column, other: float) -> Column:
 
 def own_license(text: Column) -> Column:
     """Struct of score and license of the best template, or null below the threshold."""
-    weight, other, templates = template_terms()
+    weight, other, vectors = template_terms()
+    line_forms = list(zip(TEMPLATES, vectors, strict=True))
+    all_forms = line_forms + list(zip(JOINED_TEMPLATES, joined_terms(), strict=True))
 
     def terms(unit: Column) -> Column:
         """(term, weight in the unit), each term once."""
@@ -88,7 +124,7 @@ def own_license(text: Column) -> Column:
                 s[p].alias("t"), ((F.coalesce(F.get(starts, k + 1), F.size(s)) - p) * _lookup(
                     weight, s[p], other)).alias("w")))))
 
-    def best(unit: Column) -> Column:
+    def best(unit: Column, forms: list) -> Column:
         def scored(found: Column) -> Column:
             length = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
 
@@ -100,11 +136,15 @@ def own_license(text: Column) -> Column:
             return F.array_max(F.array(*[
                 F.struct(cosine(v).alias("score"), F.lit(-k).alias("order"),
                          F.lit(name).alias("license"))
-                for k, ((name, _), v) in enumerate(zip(TEMPLATES, templates, strict=True))]))
+                for k, ((name, _), v) in enumerate(forms)]))
         return let(terms(unit), scored)
 
-    units = F.filter(F.split(text, UNIT_END), lambda u: u.rlike(SPEAKS_OF))
-    found = F.when(text.rlike(SPEAKS_OF), F.array_max(F.transform(units, best)))
+    def units(t: Column, end: str) -> Column:
+        return F.filter(F.split(t, end), lambda u: u.rlike(SPEAKS_OF))
+
+    found = F.when(text.rlike(SPEAKS_OF), F.array_max(F.concat(
+        F.transform(units(text, UNIT_END), lambda u: best(u, line_forms)),
+        F.transform(units(joined_lines(text), JOINED_END), lambda u: best(u, all_forms)))))
     return F.when(found["score"] >= THRESHOLD, found)
 
 

@@ -4,6 +4,7 @@ import os
 import re
 import subprocess
 import sys
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -194,6 +195,49 @@ def test_licences_of_edge_documents(edge, empty):
     assert license_scan.scan(license_scan.documents_as_files(empty)).count() == 0
 
 
+NOTICES = {
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the "
+               "terms of the GNU General Public License as published by the Free Software "
+               "Foundation, either version 3 of the License, or (at your option) any later "
+               "version.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without "
+                    "modification, are permitted provided that the following conditions are met:",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. "
+               "2.0. If a copy of the MPL was not distributed with this file, You can obtain one "
+               "at https://mozilla.org/MPL/2.0/.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+           "software and associated documentation files (the \"Software\"), to deal in the "
+           "Software without restriction, including without limitation the rights to use, copy, "
+           "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+           "and to permit persons to whom the Software is furnished to do so, subject to the "
+           "following conditions:",
+}
+
+
+def test_wrapped_notices(spark):
+    rows, want = [], {}
+    for width in (30, 50, 72, 79, 1000):
+        for start, stop, before, after in (
+                ("", "", "", ""), ("# ", "", "#!/bin/sh\n", "\nset -e"), ("// ", "", "", "\nf();"),
+                (" * ", "", "/*\n", "\n */\nint x;"), ("", "", "<!--\n", "\n-->\n<p>x</p>"),
+                ("/* ", " */", "", "\nint y;"), (";; ", "\r", "", "")):
+            for name, notice in NOTICES.items():
+                lines = ["Copyright (c) 2020 Some Body", "", *textwrap.wrap(notice, width), "",
+                         "1. Other words follow here"]
+                text = before + "\n".join((start + x).rstrip() + stop for x in lines) + after
+                want[len(rows)] = (name, "own")
+                rows.append((len(rows), f"d{len(rows)}/COPYING", text))
+                want[len(rows)] = (name, "inherited")
+                rows.append((len(rows), f"d{len(rows) - 1}/a/x.py", "x"))
+    other = "all about\nthis licence\nof ours and what the public\nsays of it. No software here"
+    want[len(rows)] = (None, "none")
+    rows.append((len(rows), "e/COPYING", other))
+    got = {r.doc_id: (r.license, r.origin) for r in license_scan.scan(spark.createDataFrame(
+        rows, "doc_id long, path string, text string")).collect()}
+    assert {k: (v, want[k]) for k, v in got.items() if v != want[k]} == {}
+    assert len(got) == len(rows)
+
+
 def test_nearest_directory_wins(spark):
     mit, gpl = "Released under the MIT License", "SPDX-License-Identifier: GPL-3.0-or-later"
     files = spark.createDataFrame([
