@@ -11,14 +11,17 @@ import corpus_pipeline
 from riskloom.llm import (
     ann,
     bpe,
+    collocations,
     jaccard_join,
     license_scan,
     line_dedup,
+    mixing,
     packing,
     quality_classifier,
     quality_rules,
     secret_scan,
     sharding,
+    spelling,
 )
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +95,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+@query("op11_spelling_variants")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+@query("op12_collocations", collocations.ORACLE)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+@query("op13_source_mix")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
