@@ -4,9 +4,9 @@ Counting. Tasks cut every piece of text into windows of up to `longest` words, o
 and count equal windows of a block. The windows are then put in prefix order: sorted by range, all
 windows that begin alike lie together, so one pass over the stream gives the count of every shorter
 phrase as the sum of a run. Runs that reach over the edge of a range are added up afterwards.
-Before that, windows are cut where no frequent phrase can be: counters of words and word pairs, a
-fixed number of them shared by checksum, can only be too high, so a pair whose counter stays
-below the least count is in no frequent phrase. That saves shuffled windows and changes no result.
+Before that, windows are cut where no frequent phrase can be: counters of words, pairs and threes,
+a fixed number of them shared by checksum, can only be too high, so what has a counter below the
+least count is in no frequent phrase. That saves shuffled windows and changes no result.
 
 Scoring. The streams of two neighbouring orders are merge-joined in lockstep, once in prefix order
 (a phrase meets its first words: counts of the left parts) and once in suffix order (its last
@@ -23,6 +23,8 @@ besides text and lang are ignored.
 from __future__ import annotations
 
 import re
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,16 +40,18 @@ from riskloom.operators.bounded import broadcast_if_small
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 NO_LANG = "und"
-SLOTS = 1 << 24  # counters for words, and as many for pairs of words: 4 MB of bits to each task
+COUNTED = 3  # words, pairs and threes have counters
+SLOTS = 1 << 24  # counters for each of them: 6 MB of bits to each task
 CHUNK = 1 << 16
 BLOCK_WORDS = 1 << 20
+HELD_WINDOWS = 500_000  # distinct windows that a task counts before it hands them on
 
 # Inside, words of a phrase are joined by a tab, which no word holds. Control characters below it
 # are written as two, so that the tab sorts first and phrases that begin alike lie together.
 TAB, ESCAPE = "\t", "\x0b"
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 CONTROL = re.compile(rb"[\x00-\x08]")
-ENDS = np.uint64(0x9E3779B97F4A7C15)
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)  # odd, well mixed
 
 
 def pieces_of(text: str) -> list[bytes]:
@@ -71,91 +75,90 @@ def _unescaped(plain):
 
 
 class Block:
-    """Numbered words of some pieces: `ids` (0 is a break), the language of each position."""
-
-    def __init__(self, langs: list[str], pieces: list[tuple[int, list[bytes]]]):
-        number: dict[bytes, int] = {}
-        ids: list[int] = [0]
-        lengths, lang = [], []
-        for of, words in pieces:
-            ids += [number.setdefault(w, len(number) + 1) for w in words]
-            ids.append(0)
-            lengths.append(len(words) + 1)
-            lang.append(of)
-        self.langs = langs
-        self.words = list(number)
-        self.ids = np.array(ids, np.int64)
-        self.lang = np.concatenate([[0], np.repeat(np.array(lang, np.int64), lengths)]).astype(np.int64)
-        self.hashes = np.array([0] + [xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)
-        self.lang_hashes = np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
-
-    def slots(self, slots: int) -> tuple[np.ndarray, np.ndarray]:
-        """Counter of each word, and of each pair of a word and the next one."""
-        word = self.hashes[self.ids] ^ self.lang_hashes[self.lang]
-        mixed = word * ENDS
-        pair = (mixed ^ (mixed >> np.uint64(29))) + np.append(word[1:], np.uint64(0))
-        pair *= np.uint64(0xD6E8FEB86659FD93)
+    """Numbered words of some pieces of text. `ids` has a 0 between pieces, `lang` the number of
+    the language of each position."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.langs: dict[str, int] = {}
+        self._ids, self._of, self._lengths = array("i", [0]), array("i", [0]), array("q", [1])
+
+    def __len__(self) -> int:
+        return len(self._ids)
+
+    def add(self, lang: str, words: list[bytes]) -> None:
+        number = self.number
+        self._ids.extend([number.setdefault(w, len(number) + 1) for w in words])
+        self._ids.append(0)
+        self._of.append(self.langs.setdefault(lang, len(self.langs)))
+        self._lengths.append(len(words) + 1)
+
+    def close(self) -> Block:
+        self.ids = np.array(self._ids, np.int64)
+        self.lang = np.repeat(np.array(self._of, np.int64), np.array(self._lengths))
+        hashed = [np.array([xxhash.xxh64_intdigest(x) for x in names], np.uint64)
+                  for names in (self.number, self.langs)]
+        self.word = np.append(np.zeros(1, np.uint64), hashed[0])[self.ids] ^ hashed[1][self.lang]
+        # how many words from each position on stand in one piece, three at most
+        one = self.ids > 0
+        two = one & np.append(one[1:], False)
+        self.runs = [one, two, two & np.append(two[1:], False)]
+        return self
+
+    def slots(self, slots: int) -> list[np.ndarray]:
+        """Counters of each word, each pair and each three words in a row, by first position."""
         shift = np.uint64(64 - (slots - 1).bit_length())
-        return (mixed >> shift).astype(np.int64), (pair >> shift).astype(np.int64) + slots
-
-    def pairs(self) -> np.ndarray:
-        """Whether a word and the next position's word are neighbours."""
-        return (self.ids > 0) & (np.append(self.ids[1:], 0) > 0)
-
-    def windows(self, frequent: np.ndarray, longest: int) -> Iterator[tuple[str, str, int]]:
+        found, mixed = [], np.zeros(len(self.ids), np.uint64)
+        for size in range(COUNTED):
+            ahead = np.append(self.word[size:], np.zeros(size, np.uint64))
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * FACTORS[0] + ahead
+            found.append(((mixed * FACTORS[1]) >> shift).astype(np.int64) + size * slots)
+        return found
+
+    def windows(self, frequent: np.ndarray, longest: int) -> Iterator[tuple[str, bytes, int]]:
         """(lang, window, count); the empty window has the count of all words."""
-        word, pair = self.slots(len(frequent) // 2)
-        at = self.ids > 0
-        for of, n in enumerate(np.bincount(self.lang[at], minlength=len(self.langs)).tolist()):
-            if n:
-                yield self.langs[of], "", n
-        at &= frequent[word]
-        joins = self.pairs() & frequent[pair] & at & np.append(at[1:], False)
-        start = np.flatnonzero(at)
-        # a window as one number per length, from the window one word shorter
-        code = self.lang[start] * (len(self.words) + 1) + self.ids[start]
-        reach = np.ones(len(start), bool)
-        cut = joins[start]
-        yield from self._counted(start[~cut], code[~cut], 1)
-        start, code = start[cut], code[cut]
-        for size in range(2, longest + 1):
-            if not len(start):
-                return
-            code = np.unique(code, return_inverse=True)[1] * (len(self.words) + 1) + self.ids[
-                start + size - 1]
-            reach = joins[start + size - 1] if size < longest else np.zeros(len(start), bool)
-            yield from self._counted(start[~reach], code[~reach], size)
-            start, code = start[reach], code[reach]
-
-    def _counted(self, start: np.ndarray, code: np.ndarray, size: int):
+        langs = list(self.langs)
+        per_lang = np.bincount(self.lang[self.runs[0]], minlength=len(langs)).tolist()
+        yield from ((lang, b"", n) for lang, n in zip(langs, per_lang, strict=True) if n)
+        one, two, three = (run & frequent[slot] for run, slot in zip(
+            self.runs, self.slots(len(frequent) // COUNTED), strict=True))
+        two &= one & np.append(one[1:], False)
+        three &= two & np.append(two[1:], False)
+        start = np.flatnonzero(one)
+        code, base = self.lang[start], len(self.number) + 1
+        for size in range(1, longest + 1):
+            # a window as one number, from that of the window one word shorter
+            code = code * base + self.ids[start + size - 1]
+            further = two[start] if size == 1 else three[start + size - 2]
+            if size == longest:
+                further = np.zeros(len(start), bool)
+            yield from self._counted(start[~further], code[~further], size, langs)
+            start, code = start[further], np.unique(code[further], return_inverse=True)[1]
+
+    def _counted(self, start: np.ndarray, code: np.ndarray, size: int, langs: list[str]):
         _, first, count = np.unique(code, return_index=True, return_counts=True)
         first = start[first]
-        texts, langs = self.words, self.langs
+        words = list(self.number)
         grams = (self.ids[first[:, None] + np.arange(size)] - 1).tolist()
         for lang, gram, n in zip(self.lang[first].tolist(), grams, count.tolist(), strict=True):
-            yield langs[lang], b"\t".join([texts[w] for w in gram]).decode(), n
+            yield langs[lang], b"\t".join([words[w] for w in gram]), n
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[Block]:
-    langs: dict[str, int] = {}
-    pieces: list[tuple[int, list[bytes]]] = []
-    held = 0
+    block = Block()
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                               strict=True):
-            of = langs.setdefault(lang, len(langs))
             for piece in pieces_of(text):
                 # an escape counts as white space to a plain split
                 words = [w for w in piece.split(b" ") if w] if b"\x0b" in piece else piece.split()
                 if words:
-                    # a piece longer than a block is still one piece
-                    pieces.append((of, words))
-                    held += len(words)
-            if held >= block_words:
-                yield Block(list(langs), pieces)
-                langs, pieces, held = {}, [], 0
-    if pieces:
-        yield Block(list(langs), pieces)
+                    block.add(lang, words)
+            if len(block) > block_words:
+                yield block.close()
+                block = Block()
+    if len(block) > 1:
+        yield block.close()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -166,20 +169,19 @@ def _texts(docs: DataFrame) -> DataFrame:
 def frequent_slots(docs: DataFrame, least: int, slots: int = SLOTS,
                    block_words: int = BLOCK_WORDS) -> np.ndarray:
     """Bits: whether a counter reached `least`. Of fixed size, whatever the corpus: `slots`, a
-    power of two, for words and as many for pairs.
+    power of two, for each of words, pairs and threes.
 
     A task's counters stop at `least` (or at 255 and so count as reached), so one byte each is
     enough, and their sums reach it exactly if the true ones do.
     """
     stop, width = min(least, 255), min(CHUNK, slots)
-    n_chunks = 2 * slots // width
+    n_chunks = COUNTED * slots // width
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(2 * slots, np.uint8)
+        held = np.zeros(COUNTED * slots, np.uint8)
         for block in _blocks(batches, block_words):
-            word, pair = block.slots(slots)
-            for counted in (word[block.ids > 0], pair[block.pairs()]):
-                found, n = np.unique(counted, return_counts=True)
+            for run, slot in zip(block.runs, block.slots(slots), strict=True):
+                found, n = np.unique(slot[run], return_counts=True)
                 held[found] = np.minimum(held[found] + n, stop).astype(np.uint8)
         pack = zstandard.ZstdCompressor(level=1).compress
         parts = held.reshape(n_chunks, width)
@@ -219,13 +221,25 @@ def count_windows(docs: DataFrame, longest: int, least: int, slots: int = SLOTS,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = np.unpackbits(shared.value).view(bool)
+        held: defaultdict[str, Counter[bytes]] = defaultdict(Counter)
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for lang, counts in held.items():
+                grams, n = list(counts), list(counts.values())
+                for k in range(0, len(n), 1 << 16):
+                    here = slice(k, k + (1 << 16))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(n[here]), pa.string()),
+                         pa.array(grams[here], pa.binary()).cast(pa.string()),
+                         pa.array(n[here], pa.int64())], ["lang", "gram", "n"])
+            held.clear()
+
         for block in _blocks(batches, block_words):
-            rows = list(block.windows(frequent, longest))
-            for k in range(0, len(rows), 1 << 16):
-                langs, grams, counts = zip(*rows[k:k + (1 << 16)], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array(grams, pa.string()),
-                     pa.array(counts, pa.int64())], ["lang", "gram", "n"])
+            for lang, gram, n in block.windows(frequent, longest):
+                held[lang][gram] += n
+            if sum(map(len, held.values())) > HELD_WINDOWS:
+                yield from handed_on()
+        yield from handed_on()
 
     return _texts(docs).mapInArrow(run, "lang string, gram string, n bigint")
 
