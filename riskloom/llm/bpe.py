@@ -18,7 +18,8 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -34,10 +35,40 @@ BYTE_LEVEL = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?" + SPACE[:1] + r"^\p{L}\p{N}" + SPACE[1:]
     + "+|" + SPACE + "+(?!" + NO_SPACE + ")|" + SPACE + "+")
 
+# fixed values: letters and digits of newer Unicode versions (first, last), neither for the library
+NEWER = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC),
+    (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4),
+    (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF),
+    (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F),
+    (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
+    (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128),
+    (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81),
+    (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2),
+    (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+    (0x3D000, 0x3FC3F),
+]
+# fixed values: capital letters (first, last) and the first one's small letter, which the library
+# knows and str.lower() doesn't
+NEWER_CAPITALS = [
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD),
+    (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5),
+    (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70),
+    (0x16EA0, 0x16EB8, 0x16EBB),
+]
+
 PAIR = 1 << 20  # more than tokens in a vocabulary
 PRIVATE = "\ue001"  # a character that is no letter, digit or white space
 END = "\ue000"  # stands for the word-end suffix, as one symbol
-CACHED_WORDS = 500_000  # distinct words, and pieces, of which a worker remembers up to twice as many
+BORDER = "\ue002"  # stands between pieces, in no token
+# what a worker remembers, about 100 MB: up to twice so many words, and pairs of tokens
+CACHED_WORDS, CACHED_PAIRS = 250_000, 200_000
+REMEMBERED = 500_000  # keys of a `Memo`, of which it holds up to twice as many
+BATCH_CHARS = 2_000_000  # texts encoded together; one that is longer, alone
+LONG_PIECE, FEW = 200, 16  # longer pieces, and the last few, are merged one by one
 
 
 def _byte_symbols() -> list[str]:
@@ -49,8 +80,8 @@ def _byte_symbols() -> list[str]:
 
 
 class Memo(dict):
-    """What `make` gives for each key asked for. At `CACHED_WORDS` keys the older ones step back
-    and stay only if they are asked for again before the next turn, so frequent words are kept."""
+    """What `make` gives for each key asked for. At `REMEMBERED` keys the older ones step back
+    and stay only if they are asked for again before the next turn, so frequent keys are kept."""
 
     def __init__(self, make):
         self.make, self.older = make, {}
@@ -59,13 +90,17 @@ class Memo(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+def _in_ranges(ranges: list[tuple[int, ...]]) -> re.Pattern:
+    return re.compile("[" + "".join(f"{chr(r[0])}-{chr(r[1])}" for r in ranges) + "]")
+
+
 class Encoder:
     """A tokenizer file in memory: pieces, merges, pair compatibility, decoding."""
 
@@ -102,8 +137,12 @@ class Encoder:
             self.automaton.add_word(t, r)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.known_pieces = Memo(self._piece)
-        self.words = Memo(self._word)
+        self.known: dict[str | tuple[str], bytes] = {}  # ids of words, and of pieces
+        self.older: dict[str | tuple[str], bytes] = {}
+        self.ids_of, self.length_of, self.shorter_of = (
+            np.array(x, np.int64) for x in (self.ids, self.length, self.shorter))
+        self.pair_keys, self.pair_fits = np.zeros(1, np.int64) - 1, np.zeros(1, np.bool_)
+        self.loose_space = re.compile(f"^ | \\Z|{SPACE} | {SPACE}")
 
         byte_symbol = _byte_symbols()
         self.to_symbols = {b: s for b, s in enumerate(byte_symbol)}
@@ -111,12 +150,10 @@ class Encoder:
         self.split_added = regex.compile("(" + "|".join(
             regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.pieces, self.space = self._pre_tokenizer(conf["pre_tokenizer"])
-        # letters and digits of a newer Unicode are neither for the library
-        unassigned = "".join(c for c in map(chr, range(0x80, 0x110000))
-                             if unicodedata.category(c) == "Cn")
-        newer = regex.findall(r"[\p{L}\p{N}]", unassigned)
-        self.newer = dict.fromkeys(map(ord, newer), PRIVATE)
-        self.has_newer = regex.compile("[" + "".join(newer) + "]") if newer else None
+        self.has_newer = _in_ranges(NEWER)
+        self.has_newer_capital = _in_ranges(NEWER_CAPITALS)
+        self.small = {c: small + c - first for first, last, small in NEWER_CAPITALS
+                      for c in range(first, last + 1)}
         self.separators = re.compile("[\x1c-\x1f]")
         self.lower = conf["normalizer"] is not None
         self._offsets(model["vocab"], byte_symbol, joined=conf["decoder"] is None)
@@ -165,7 +202,7 @@ class Encoder:
                 limit, a = a, self.right[a]
             else:
                 limit, b = b + 1, self.left[b]  # of equal merges the left one comes first
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > CACHED_PAIRS:
             self.pairs.clear()
         self.pairs[key] = verdict
         return verdict
@@ -181,14 +218,15 @@ class Encoder:
         at, token, last = 0, longest[0], -1
         while at < n:
             end = at + length[token]
-            fits = longest[end] >= 0 and end not in given_up
+            following = longest[end]
+            fits = following >= 0 and end not in given_up
             if fits and last >= 0:
                 fits = pairs.get(last * PAIR + token)
                 if fits is None:
                     fits = self.compatible(last, token)
             if fits:
                 taken.append(token)
-                at, last, token = end, token, longest[end]
+                at, last, token = end, token, following
             elif self.shorter[token] >= 0:
                 token = self.shorter[token]
             else:
@@ -199,43 +237,163 @@ class Encoder:
         ids = self.ids
         return [ids[t] for t in taken]
 
-    def _piece(self, piece: str) -> bytes:
-        symbols = piece.encode().decode("latin-1").translate(self.to_symbols)
-        return array("I", self.merge_piece(symbols + END if self.suffix else symbols)).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        pieces = self.pieces.findall(word)
-        if self.has_newer and not word.isascii() and self.has_newer.search(word):
-            plain = self.pieces.finditer(word.translate(self.newer))
-            pieces = [word[m.start():m.end()] for m in plain]
-        return b"".join(map(self.known_pieces.__getitem__, pieces))
-
-    def _segment(self, text: str) -> bytes:
-        """Ids of a text without added tokens, as little-endian 32-bit numbers."""
+    def _symbols(self, piece: str) -> str:
+        if piece.isascii() and piece.isprintable():  # such bytes but the space are their own symbols
+            symbols = piece.replace(" ", self.to_symbols[32])
+        else:
+            symbols = piece.encode().decode("latin-1").translate(self.to_symbols)
+        return symbols + END if self.suffix else symbols
+
+    def fitting(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """`compatible` of many pairs; those asked for before are looked up in a sorted table."""
+        keys = a * PAIR + b
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        new = np.unique(keys[self.pair_keys[at] != keys])
+        if len(new):
+            fits = np.array([self.compatible(*divmod(k, PAIR)) for k in new.tolist()])
+            if len(self.pair_keys) > CACHED_PAIRS:
+                self.pair_keys, self.pair_fits = self.pair_keys[:1], self.pair_fits[:1]
+                return self.fitting(a, b)
+            known = np.concatenate([self.pair_keys, new])
+            order = np.argsort(known, kind="stable")
+            self.pair_keys = known[order]
+            self.pair_fits = np.concatenate([self.pair_fits, fits])[order]
+            at = np.searchsorted(self.pair_keys, keys)
+        return self.pair_fits[at]
+
+    def merge_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece, given as symbols: the steps of `merge_piece`, for all at once."""
+        if not pieces:
+            return []
+        text = BORDER.join(pieces) + BORDER
+        size = np.array([len(p) for p in pieces])
+        ends = np.cumsum(size + 1) - 1
+        starts = ends - size
+        length = self.length_of
+        longest = np.full(len(text), -1, np.int64)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        longest[found[:, 0] - length[found[:, 1]] + 1] = found[:, 1]  # the last one, so the longest
+        longest[ends] = 0
+        given_up = np.zeros(len(text), np.bool_)
+        ended = np.full(len(text), -1, np.int64)  # the token taken up to here
+        left = np.arange(len(pieces))
+        at, token = starts.copy(), longest[starts]
+        while len(left) > FEW:
+            here, now, last = at[left], token[left], ended[at[left]]
+            last[here == starts[left]] = -1
+            end = here + length[now]
+            fits = (longest[end] >= 0) & ~given_up[end]
+            asked = np.flatnonzero(fits & (last >= 0))
+            fits[asked] = self.fitting(last[asked], now[asked])
+            shorter = self.shorter_of[now]
+            back = ~fits & (shorter < 0)
+            ended[end[fits]] = now[fits]
+            before = ended[here]
+            given_up[here[back]] = True
+            at[left] = np.where(fits, end, np.where(back, here - length[before], here))
+            token[left] = np.where(fits, longest[end], np.where(back, before, shorter))
+            left = left[at[left] < ends[left]]
+        # back from the end, to mark where tokens begin
+        begins = np.full(len(text), -1, np.int64)
+        done = np.setdiff1d(np.arange(len(pieces)), left)
+        at = ends[done]
+        while len(at):
+            begin = at - length[ended[at]]
+            begins[begin] = ended[at]
+            more = begin > starts[done]
+            at, done = begin[more], done[more]
+        taken = np.flatnonzero(begins >= 0)
+        ids = self.ids_of[begins[taken]].astype("=u4").tobytes()
+        cuts = (4 * np.searchsorted(taken, np.stack([starts, ends]))).T.tolist()
+        out = [ids[a:b] for a, b in cuts]
+        for k in left.tolist():
+            out[k] = array("I", self.merge_piece(pieces[k])).tobytes()
+        return out
+
+    def _pieces(self, word: str) -> list[str]:
+        if max(word, default="") >= chr(NEWER[0][0]) and self.has_newer.search(word):
+            plain = self.pieces.finditer(self.has_newer.sub(PRIVATE, word))
+            return [word[m.start():m.end()] for m in plain]
+        return self.pieces.findall(word)
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Puts the ids of words into `known`, which has none of them."""
+        known, older = self.known, self.older
+        whole: list[str] = []
+        split: list[tuple[str, list[str]]] = []
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+            elif word.isascii() and word[word[:1] == " ":].isalpha():
+                whole.append(word)  # letters, a space before them or not
+            else:
+                split.append((word, self._pieces(word)))
+        # a piece by itself is split no further, so it counts as a word too
+        pieces = set(chain.from_iterable(p for _, p in split)).difference(known, whole)
+        for piece in pieces:
+            if piece in older:
+                known[piece] = older[piece]
+            else:
+                whole.append(piece)
+        symbols = list(map(self._symbols, whole))
+        short = [k for k, x in enumerate(symbols) if len(x) <= LONG_PIECE]
+        for k, ids in zip(short, self.merge_pieces([symbols[k] for k in short]), strict=True):
+            known[whole[k]] = ids
+        for piece, x in zip(whole, symbols, strict=True):
+            if len(x) > LONG_PIECE:
+                known[piece] = array("I", self.merge_piece(x)).tobytes()
+        for word, pieces in split:
+            if len(pieces) != 1:
+                known[word] = b"".join([known[p] for p in pieces])
+
+    def _words(self, text: str) -> list[str]:
+        """A text without added tokens, cut where no piece reaches over."""
         if self.lower:
             text = unicodedata.normalize("NFC", text)
             # each letter by itself: no special form of sigma at the end of a word
             low = text.replace("Σ", "σ").lower()
+            if not low.isascii() and self.has_newer_capital.search(low):
+                low = low.translate(self.small)
             # str.split() also splits at four separators that aren't white space here
-            words = self.space.split(low) if self.separators.search(low) else low.split()
-            return b"".join(map(self.words.__getitem__, words))
+            return self.space.split(low) if self.separators.search(low) else low.split()
         # between two characters that aren't white space, a piece begins at a single space
-        chunks = text.split(" ")
-        if all(chunks) and not self.space.search("".join(c[0] + c[-1] for c in chunks)):
-            chunks[1:] = [" " + c for c in chunks[1:]]
-            return b"".join(map(self.words.__getitem__, chunks))
-        return self._word(text)
+        if self.loose_space.search(text):
+            return [text]
+        first, *words = text.split(" ")
+        return [first, *[" " + w for w in words]]
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a whole text."""
+    def _units(self, text: str | None) -> list[str | tuple[str]]:
+        """Words, and added tokens (as tuples)."""
         if not text:
-            return np.zeros(0, "<u4")
+            return []
         if not self.added or not any(t in text for t in self.added):
-            return np.frombuffer(self._segment(text), "=u4").astype("<u4", copy=False)
-        parts = [
-            array("I", [self.added[s]]).tobytes() if s in self.added else self._segment(s)
-            for s in self.split_added.split(text) if s]
-        return np.frombuffer(b"".join(parts), "=u4").astype("<u4", copy=False)
+            return self._words(text)
+        units: list[str | tuple[str]] = []
+        for s in self.split_added.split(text):
+            units += [(s,)] if s in self.added else self._words(s) if s else []
+        return units
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of whole texts. What no text of a batch has had before is merged together."""
+        at = 0
+        while at < len(texts):
+            units, chars = [], 0
+            while at < len(texts) and chars < BATCH_CHARS:
+                units.append(self._units(texts[at]))
+                chars += len(texts[at] or "")
+                at += 1
+            if len(self.known) >= CACHED_WORDS:  # of the older ones those asked for again stay
+                self.older, self.known = self.known, {}
+            for token, number in self.added.items():
+                self.known[token,] = array("I", [number]).tobytes()
+            self._learn(set(chain.from_iterable(units)).difference(self.known))
+            for unit in units:
+                ids = b"".join(map(self.known.__getitem__, unit))
+                yield np.frombuffer(ids, "=u4").astype("<u4", copy=False)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text."""
+        return next(self.encode_all([text]))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of the text of `ids`; bytes that aren't UTF-8 are replaced."""
@@ -281,7 +439,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.get()
         for batch in batches:
-            ids = [encoder.encode(t).tobytes() for t in batch.column(1).to_pylist()]
+            ids = [x.tobytes() for x in encoder.encode_all(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -312,8 +470,7 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
         encoder = shared.get()
         for batch in batches:
             n, digest, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = encoder.encode(text)
+            for ids in encoder.encode_all(batch.column(1).to_pylist()):
                 n.append(len(ids))
                 digest.append(hashlib.sha256(ids).hexdigest())
                 decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())

@@ -41,8 +41,8 @@ def tokenised(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> Data
         serial = TaskContext.get().partitionId() * SERIALS
         for batch in batches:
             tokens, crcs, tails = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = np.append(encoder.encode(text), np.array([end_id], "<u4"))
+            for ids in encoder.encode_all(batch.column(1).to_pylist()):
+                ids = np.append(ids, np.array([end_id], "<u4"))
                 full = len(ids) - len(ids) % window
                 tokens.append(len(ids))
                 crcs.append([zlib.crc32(ids[k:k + window]) for k in range(0, full, window)])
