@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.history import anti_join_new_keys
 from riskloom.schemas import schema_of
 from riskloom.sources.tables import Lakehouse
 
@@ -79,7 +78,7 @@ def reconcile_balanced(
     """
     keys = source.filter(~broken).select(key).distinct()
     if known is not None:
-        keys = anti_join_new_keys(keys, known, [key])
+        keys = keys.join(known, [key], "left_anti")
     counts = _sum_counts(
         source.agg(F.count("*").alias("source_count"), F.count_if(~broken).alias("clean_count")),
         row_count(keys, "key_count"), row_count(rejected, "rejected_count"),

@@ -10,18 +10,22 @@ not even if a checkpoint is deleted and its path used again.
 
 from __future__ import annotations
 
+import datetime
 import json
+import re
 import uuid
 import zlib
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from riskloom.schemas import DDL, LAYERS, conform, schema_of
+from riskloom.sources.seen import SeenKeys
 
-BATCH, ARRIVAL = "ingest_batch", "_arrival"
+BATCH, ARRIVAL, PERIOD = "ingest_batch", "_arrival", "event_period"
 
 # Tables fed by appends; the rest are rebuilt as a whole.
 APPENDED = frozenset(
@@ -32,6 +36,18 @@ APPENDED = frozenset(
 )
 
 
+# Large rebuilt tables that may be laid out by the day or month of this column (hidden partitions).
+DATED = {"gold.transactions_enriched": "transaction_timestamp"}
+NO_TIME = datetime.date(1900, 1, 1)  # period of rows without a time
+NUMBERED = re.compile(r"(.*)-(\d{10})")  # batch labels of a stream: its batches come in order
+
+# Appended tables that hold a key once: their batches ask which keys are there already.
+KEYS = {
+    "silver.transactions": ["transaction_id"],
+    "gold.transactions_with_fraud_alerts": ["transaction_id", "alert_id"],
+}
+
+
 def batch_label(source: str, query_id: str, batch_id: int) -> str:
     """Partition of one micro-batch: the same for a replay, different for another query."""
     return f"{source}-{zlib.crc32(query_id.encode()):08x}-{batch_id:010d}"
@@ -44,10 +60,26 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 class Lakehouse:
-    """The tables of one environment under one root folder."""
+    """The tables of one environment under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "", fmt: str = "parquet"):
+    `period` ("day" or "month") lays out the tables in `DATED` by time, so that single periods
+    can be replaced; by default they are replaced as a whole. It is fixed when they are created.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "", fmt: str = "parquet",
+                 period: str | None = None):
         self.spark, self.root, self.prefix, self.fmt = spark, root.rstrip("/"), prefix, fmt
+        if period not in (None, "day", "month"):
+            raise ValueError(f"no such period: {period}")
+        self.period = period
+
+    def dated(self, table: str) -> bool:
+        return self.period is not None and table in DATED
+
+    def period_of(self, column: str) -> Column:
+        """First day of the period a date or time lies in."""
+        day = F.to_date(column)
+        return F.trunc(day, "month").cast("date") if self.period == "month" else day
 
     def name(self, table: str) -> str:
         layer, short = table.split(".")
@@ -66,6 +98,9 @@ class Lakehouse:
             if table in APPENDED:
                 columns += f", `{BATCH}` string"
                 partition = f"PARTITIONED BY (`{BATCH}`)"
+            elif self.dated(table):
+                columns += f", `{PERIOD}` date"
+                partition = f"PARTITIONED BY (`{PERIOD}`)"
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) "
                 f"USING {self.fmt} {partition} LOCATION '{self._fresh(table)}'")
@@ -79,7 +114,12 @@ class Lakehouse:
         return detail.filter("col_name = 'Location'").first()["data_type"]
 
     def table(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table)).drop(BATCH)
+        return self.spark.table(self.name(table)).drop(BATCH, PERIOD)
+
+    def periods(self, table: str, periods: Sequence[datetime.date]) -> DataFrame:
+        """Rows of some periods of a dated table; the others' folders aren't listed."""
+        return self.spark.table(self.name(table)).where(
+            F.col(PERIOD).isin(list(periods))).drop(PERIOD)
 
     def stream(
         self, table: str, max_files: int | None = None, arrival: bool = False
@@ -98,9 +138,11 @@ class Lakehouse:
         return rows.withColumn(ARRIVAL, F.struct(
             "_metadata.file_modification_time", "_metadata.file_path")) if arrival else rows
 
-    def others(self, table: str, batch: str) -> DataFrame:
-        """Rows of all appended batches but one."""
-        return self.spark.table(self.name(table)).filter(F.col(BATCH) != batch).drop(BATCH)
+    def seen(self, table: str) -> SeenKeys:
+        """The index of the keys of a table in `KEYS`; `append` keeps it."""
+        layer, short = table.split(".")
+        return SeenKeys(self.spark, self.name(table), f"{self.root}/{layer}/{short}-seen",
+                        KEYS[table])
 
     def batches(self, table: str) -> list[str]:
         """Labels of the appended batches a table shows."""
@@ -109,6 +151,8 @@ class Lakehouse:
 
     def replace(self, table: str, df: DataFrame, batch: str) -> None:
         """Make `df` the only batch of an appended table."""
+        if table in KEYS:
+            self.seen(table).start()
         self.append(table, df, batch)
         for old in self.batches(table):
             if old != batch:
@@ -129,6 +173,8 @@ class Lakehouse:
         self.spark.sql(f"ALTER TABLE {self.name(table)} "
                        f"ADD IF NOT EXISTS PARTITION (`{BATCH}` = '{label}')")
         self.spark.catalog.refreshTable(self.name(table))
+        if table in KEYS:
+            self.seen(table).add(self.batch(table, label), label)
 
     def batch(self, table: str, batch: str) -> DataFrame:
         """Rows of one appended batch, as they are on disk now; no other partition is listed."""
@@ -145,7 +191,72 @@ class Lakehouse:
         """Replace all rows of a table; `df` may read the table itself."""
         if table in APPENDED:
             raise ValueError(f"{table} is fed by appends and is not rebuilt")
+        if self.dated(table):
+            self.replace_periods(table, df)
+            return
         path = self._fresh(table)
         conform(df, table).write.format(self.fmt).save(path)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{path}'")
         self.spark.catalog.refreshTable(self.name(table))
+
+    def replace_periods(
+        self, table: str, df: DataFrame, periods: Sequence[datetime.date] | None = None
+    ) -> None:
+        """Replace some periods (all by default) of a dated table by their rows in `df`, which may
+        read the table itself.
+
+        The new periods are written beside the old ones, in files of even size whatever the number
+        of micro-batches they come from; then each partition is pointed at its new folder. So a
+        reader meets a period as it was or as it is, a failed call leaves all as it was or can be
+        called again, and the other periods aren't touched.
+        """
+        rows = conform(df, table).withColumn(
+            PERIOD, F.coalesce(self.period_of(DATED[table]), F.lit(NO_TIME)))
+        if periods is not None:
+            rows = rows.where(F.col(PERIOD).isin(list(periods)))
+        path, name = self._fresh(table), self.name(table)
+        rows.hint("rebalance", PERIOD).write.format(self.fmt).partitionBy(PERIOD).save(path)
+        try:
+            written = self.spark.read.format(self.fmt).schema(rows.schema).load(path)
+            new = {str(r[PERIOD]) for r in written.select(PERIOD).distinct().collect()}
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # no row, no folder
+                raise
+            new = set()
+        old = {r["partition"].removeprefix(f"{PERIOD}=")
+               for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        scope = old if periods is None else old & set(map(str, periods))
+        added = " ".join(f"PARTITION (`{PERIOD}` = DATE'{p}') LOCATION '{path}/{PERIOD}={p}'"
+                         for p in sorted(new - old))
+        if added:
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+        for p in sorted(new & old):
+            self.spark.sql(f"ALTER TABLE {name} PARTITION (`{PERIOD}` = DATE'{p}') "
+                           f"SET LOCATION '{path}/{PERIOD}={p}'")
+        for p in sorted(scope - new):
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{PERIOD}` = DATE'{p}')")
+        self.spark.catalog.refreshTable(name)
+
+    def unread(self, table: str, reader: str) -> tuple[list[str], str]:
+        """Labels of the batches of `table` that `reader` has not taken up, and the mark to set
+        once it has. A mark has the last batch of each stream and the labels of other appends."""
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(reader)}").where(
+            F.col("key") == f"read.{table}").first()
+        mark = json.loads(shown["value"]) if shown else {}
+        new, last = [], dict(mark)
+        for label in self.batches(table):
+            numbered = NUMBERED.fullmatch(label)
+            stream, at = (numbered[1], int(numbered[2])) if numbered else (label, 0)
+            if at > mark.get(stream, -1):
+                new.append(label)
+                last[stream] = max(at, last.get(stream, -1))
+        return new, json.dumps(last)
+
+    def mark_read(self, table: str, reader: str, mark: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(reader)} "
+                       f"SET TBLPROPERTIES ('read.{table}' = '{mark}')")
+
+    def rows_of(self, table: str, labels: Sequence[str]) -> DataFrame:
+        """Rows of some appended batches."""
+        return self.spark.table(self.name(table)).where(
+            F.col(BATCH).isin(list(labels))).drop(BATCH)
