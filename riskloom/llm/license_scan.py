@@ -115,8 +115,9 @@ def own_license(text: Column) -> Column:
     all_forms = line_forms + list(zip(JOINED_TEMPLATES, joined_terms(), strict=True))
 
     def terms(unit: Column) -> Column:
-        """(term, weight in the unit), each term once."""
-        ordered = F.array_sort(F.regexp_extract_all(F.lower(unit), F.lit(f"({TERM})"), F.lit(1)))
+        """(term, weight in the unit), each term once. The pattern's repetition is made possessive:
+        it gives back nothing, so a term of any length needs no stack."""
+        ordered = F.array_sort(F.regexp_extract_all(F.lower(unit), F.lit(f"({TERM}+)"), F.lit(1)))
         return let(ordered, lambda s: let(
             F.filter(F.transform(s, lambda x, i: F.when(
                 (i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull()),

@@ -13,9 +13,10 @@ import pytest
 import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm import bpe, line_dedup, packing, quality_classifier, quality_rules, secret_scan
+from riskloom.llm import bpe, license_scan, line_dedup, packing, quality_classifier, quality_rules, secret_scan
 
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -305,3 +306,11 @@ def test_hot_host_and_null_pages(spark):
     rows = {r.page_id: r for r in line_dedup.dedup_pages(pages).collect()}
     assert rows[5].text == "page 5" and rows[5].n_dropped == 1 and rows[5].n_lines == 2
     assert rows[100].text == "menu" and rows[101].text is None and len(rows) == 62
+
+
+def test_terms_of_any_length_are_scanned(spark):
+    text = "license " + "a." * 200_000 + "\nReleased under the MIT License."
+    rows = spark.createDataFrame([(1, text), (2, "license " + "a." * 5000)], "doc_id long, text string")
+    assert rows.select(license_scan.own_license(F.col("text")).alias("l")).count() == 2
+    got = rows.select("doc_id", license_scan.own_license(F.col("text")).alias("l")).collect()
+    assert [r["l"] and r["l"]["license"] for r in got] == ["MIT", None]
