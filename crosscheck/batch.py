@@ -606,6 +606,18 @@ def _(v):
                             "effective_date", ["seq"])
 
 
+@query("merge_type2_backdated", duckdb_with(h=history("{cust_feed}"))
+       + f"SELECT * {VALIDITY_TEXT} FROM h")
+def _(v):
+    """Two batches that interleave in time give the history of the whole feed."""
+    late = F.pmod(F.xxhash64("seq"), F.lit(3)) == 0
+    merged = customer_history(v.cust_feed).limit(0)
+    for batch in (v.cust_feed.where(~late), v.cust_feed.where(late)):
+        merged = hist.merge_type2_backdated(
+            merged, batch, ["customer_id"], TRACKED, "effective_date", ["seq"], "observed")
+    return merged.drop("observed")
+
+
 @query("scd2_from_feed", duckdb_with(h=history("{cust_feed}"))
        + f"SELECT * {VALIDITY_TEXT} FROM h")
 def _(v):

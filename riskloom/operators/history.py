@@ -94,7 +94,7 @@ def merge_type2(
     and optionally `created_at` / `updated_at`. Of several source rows per key the latest
     counts (ties by `order_by`); NULL keys are left out. A changed row closes the current
     version at its effective date and opens a new one; a change dated before the current
-    version starts is not applied (see `late_changes`). Running twice changes nothing.
+    version starts is not applied (see `late_changes` and `merge_type2_backdated`). Running twice changes nothing.
     """
     keys = list(keys)
     payload = [c for c in source.columns if c != effective_date and c not in order_by]
@@ -143,12 +143,132 @@ def merge_type2(
     return history.unionByName(versions).unionByName(unseen)
 
 
+def merge_type2_backdated(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    effective_date: str,
+    order_by: Sequence[str] = (),
+    observed: str | None = None,
+) -> DataFrame:
+    """Apply changes of any date to a history: a change inside it cuts the version that covers its
+    date and lasts until the next version starts. Returns the whole new history.
+
+    All source rows count, one per key and date (the last by `order_by`); rows without a key or a
+    date are left out. A row that repeats the state before it opens no version; a change that makes
+    the next version repeat it swallows that version. Gaps and ends of the history stay. A source
+    row takes the place of a version that starts on its date.
+
+    With `observed`, the name of an array column that `target` has or gets, every version keeps the
+    dates, order and untracked values of the source rows it stands for. Any split of a feed into
+    batches, in any order, then gives the history of `scd2_from_feed` over the whole feed; without
+    it a row that repeated a state is forgotten and can't reappear behind a later insertion.
+
+    Only versions of the source's keys are shuffled, once, and a key holds at most one row per
+    calendar day of its history and its source. Running twice changes nothing.
+    """
+    keys, order_by = list(keys), list(order_by)
+    types = dict(target.dtypes)
+    source_types = dict(source.dtypes)
+    payload = [c for c in target.columns if c in source_types and c not in keys]
+    untracked = [c for c in payload if c not in tracked]
+    stamps = [c for c in ("created_at", "updated_at") if c in types and c not in payload]
+    noted = [c for c in dict.fromkeys([effective_date, *order_by, *untracked])]
+    note_type = ", ".join(f"`{c}`: {types.get(c) or source_types[c]}" for c in noted)
+    if observed and observed not in types:
+        target = target.withColumn(observed, F.lit(None).cast(f"array<struct<{note_type}>>"))
+
+    source = _keyed(source, [*keys, effective_date])
+    daily = dedup_latest(
+        source, [*keys, effective_date],
+        order_by or sorted(c for c in source.columns if c not in (*keys, effective_date)))
+    touched = source.select(*keys).distinct()
+    if measured_bytes(source.select(*keys)) <= BROADCAST_BYTES:
+        touched = F.broadcast(touched)
+    untouched = target.join(touched, keys, "left_anti")
+    versions = target.join(touched, keys, "left_semi")
+
+    # points in time: what the source and the versions observed, and where a version ended
+    first = F.struct(*[
+        (F.col("valid_from") if c == effective_date
+         else F.col(c) if c in untracked else F.lit(None)).cast(
+             types.get(c) or source_types[c]).alias(c) for c in noted])
+    notes = F.array(first)
+    if observed:
+        notes = F.when(F.size(observed) > 0, F.col(observed)).otherwise(notes)
+    state = F.struct(*[F.col(c).cast(types[c]).alias(c) for c in tracked])
+    held = F.struct(*target.columns)
+    none_held = F.lit(None).cast(versions.select(held.alias("v")).schema["v"].dataType)
+    old = versions.select(*keys, state.alias("_state"), held.alias("_held"),
+                          F.explode(notes).alias("_note")).select(
+        *keys, "_state", "_note", F.lit(1).alias("_rank"),
+        F.when(F.col(f"_note.{effective_date}") == F.col("_held.valid_from"),
+               F.col("_held")).alias("_held"))
+    ends = versions.where("valid_to IS NOT NULL").select(
+        *keys, F.lit(None).cast(versions.select(state.alias("s")).schema["s"].dataType)
+        .alias("_state"),
+        F.struct(*[(F.col("valid_to") if c == effective_date else F.lit(None)).cast(
+            types.get(c) or source_types[c]).alias(c) for c in noted]).alias("_note"),
+        F.lit(0).alias("_rank"), none_held.alias("_held"))
+    new = daily.select(
+        *keys, state.alias("_state"),
+        F.struct(*[F.col(c).cast(types.get(c) or source_types[c]).alias(c) for c in noted])
+        .alias("_note"), F.lit(2).alias("_rank"), none_held.alias("_held"))
+
+    date = F.col(f"_note.{effective_date}")
+    # an end gives way to what starts on its date; then order decides, then the batch at hand
+    timeline = Window.partitionBy(*keys).orderBy("_date")
+    preferred = Window.partitionBy(*keys).orderBy(
+        "_date", (F.col("_rank") > 0).desc(),
+        *[F.col(f"_note.{c}").desc_nulls_last() for c in order_by], F.col("_rank").desc(),
+        F.col("_held.valid_to").desc_nulls_first())
+    points = (
+        old.unionByName(ends).unionByName(new).withColumn("_date", date)
+        .withColumn("_same", F.lag("_date").over(preferred))
+        .where("_same IS NULL OR _same <> _date")
+        .withColumn("_before", F.lag(F.struct(F.col("_state").alias("s"))).over(timeline))
+        .withColumn("_run", F.sum(F.when(
+            F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(F.col("_state")), 1)
+            .otherwise(0)).over(timeline)))
+    runs = points.groupBy(*keys, "_run").agg(
+        F.min("_date").alias("_from"),
+        F.min_by(F.struct("_state", "_note", "_held"), "_date").alias("_first"),
+        F.array_sort(F.collect_list("_note")).alias("_notes"),
+    ).withColumn("_to", F.lead("_from").over(Window.partitionBy(*keys).orderBy("_run"))).where(
+        "_first._state IS NOT NULL")
+
+    until = F.col("_to").cast(types["valid_to"])
+    kept = F.col("_first._held")
+    # a version whose dates and values stay as they are keeps its stamp
+    same = kept.isNotNull() & kept["valid_to"].eqNullSafe(until)
+    for c in payload:
+        value = F.col("_first._note" if c in untracked else "_first._state")[c]
+        same = same & kept[c].eqNullSafe(value)
+    values = {
+        "valid_from": F.col("_from").cast(types["valid_from"]), "valid_to": until,
+        "is_current": F.col("_to").isNull(),
+        **{c: F.col("_first._state")[c] for c in tracked},
+        **{c: F.col("_first._note")[c] for c in untracked},
+        **{c: F.col(c) for c in keys}}
+    if observed:
+        values[observed] = F.col("_notes")
+    if "created_at" in stamps:
+        values["created_at"] = F.coalesce(kept["created_at"], F.current_timestamp())
+    if "updated_at" in stamps:
+        values["updated_at"] = F.when(same, kept["updated_at"]).otherwise(F.current_timestamp())
+    spliced = runs.select(*[
+        values.get(c, kept[c]).alias(c) for c in target.columns])
+    return untouched.unionByName(spliced)
+
+
 def late_changes(
     target: DataFrame, source: DataFrame, keys: Sequence[str], effective_date: str
 ) -> DataFrame:
     """Source rows dated before their key's current version, which `merge_type2` leaves out.
 
-    `scd2_from_feed` over the whole feed places them in the history.
+    `merge_type2_backdated` places them in the history, as does `scd2_from_feed` over the whole
+    feed.
     """
     current = target.filter("is_current").select(*keys, F.col("valid_from").alias("_from"))
     return (source.join(current, list(keys))

@@ -1,4 +1,4 @@
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from random import Random
 
 from riskloom.operators import history, joins
@@ -66,6 +66,64 @@ def test_late_change_is_reported_not_applied(spark):
         target, spark.createDataFrame([late], FEED), KEYS, "effective_date").count() == 1
 
 
+def splice(spark, target, *source, observed=None):
+    return history.merge_type2_backdated(
+        target, spark.createDataFrame(list(source), FEED), KEYS, TRACKED, "effective_date", ["seq"],
+        observed)
+
+
+def test_backdated_change_cuts_the_version_that_covers_it(spark):
+    target = spark.createDataFrame(
+        [("C1", "LOW", None, d(1), d(5), False), ("C1", "HIGH", None, d(5), None, True),
+         ("C2", "LOW", "V", d(4), None, True), ("C3", "LOW", "V", d(1), d(3), False),
+         ("C4", "LOW", "V", d(1), None, True), (None, "LOW", "V", d(1), None, True)], TARGET)
+    source = [("C1", "MEDIUM", None, d(3), 1),           # inside a closed version
+              ("C2", "HIGH", "V", d(2), 2),              # before the first version
+              ("C3", "LOW", "V", d(2), 3),               # repeats a state; the end stays
+              ("C5", "LOW", None, d(2), 4), ("C5", "HIGH", None, d(1), 5),
+              (None, "LOW", None, d(2), 6), ("C4", "HIGH", "V", None, 7)]
+    once = splice(spark, target, *source)
+    expected = sorted([
+        ("C1", "LOW", None, d(1), d(3), False), ("C1", "MEDIUM", None, d(3), d(5), False),
+        ("C1", "HIGH", None, d(5), None, True), ("C2", "HIGH", "V", d(2), d(4), False),
+        ("C2", "LOW", "V", d(4), None, True), ("C3", "LOW", "V", d(1), d(3), False),
+        ("C4", "LOW", "V", d(1), None, True), ("C5", "HIGH", None, d(1), d(2), False),
+        ("C5", "LOW", None, d(2), None, True), (None, "LOW", "V", d(1), None, True)], key=str)
+    assert rows(once) == expected and once.columns == target.columns
+    assert rows(splice(spark, once, *source)) == expected
+    # the next version repeats the inserted one and is swallowed
+    assert rows(splice(spark, target.where("customer_id = 'C1'"), ("C1", "HIGH", None, d(3), 1))) \
+        == sorted([("C1", "LOW", None, d(1), d(3), False), ("C1", "HIGH", None, d(3), None, True)],
+                  key=str)
+    assert rows(splice(spark, target)) == rows(target)
+
+
+def test_batches_in_any_order_give_the_history_of_the_whole_feed(spark):
+    draw = Random(5)
+    feed = [(f"C{draw.randrange(6)}", draw.choice(["LOW", "HIGH"]), draw.choice([None, "V"]),
+             d(draw.randrange(1, 25)), n) for n in range(150)]
+    draw.shuffle(feed)
+    whole = rows(build(spark, *feed))
+    merged = spark.createDataFrame([], TARGET)
+    for k in range(3):
+        merged = splice(spark, merged, *feed[50 * k:50 * k + 50], observed="seen")
+        # cut the plan, as a table written between batches does
+        merged = spark.createDataFrame(merged.collect(), merged.schema)
+    assert rows(merged) == whole
+    assert history.scd2_violations(merged, KEYS).count() == 0
+
+
+def test_stamps_of_versions_that_stay_are_kept(spark):
+    long_ago = datetime(2020, 1, 1)
+    target = spark.createDataFrame(
+        [("C1", "LOW", None, d(1), d(5), False, long_ago, long_ago),
+         ("C1", "HIGH", None, d(5), None, True, long_ago, long_ago)],
+        TARGET + ", created_at timestamp, updated_at timestamp")
+    out = {r.valid_from: r for r in splice(spark, target, ("C1", "MEDIUM", None, d(3), 1)).collect()}
+    assert out[d(5)].updated_at == long_ago and out[d(1)].created_at == long_ago
+    assert out[d(1)].updated_at > long_ago and out[d(3)].created_at > long_ago
+
+
 def test_merge_gives_the_same_with_and_without_broadcast(spark, monkeypatch):
     target = build(spark, *[(f"C{i}", "LOW", None, d(1), i) for i in range(50)])
     source = [(f"C{i}", "LOW" if i % 2 else "HIGH", None, d(3), i) for i in range(25, 75)]
