@@ -12,7 +12,8 @@ are then computed in double precision on the original vectors. Recall is measure
 force in the tests.
 
 Edge cases: vectors that are null, empty, zero, of another length than most, or that hold null or
-non-finite components take no part. Equal scores go to the smaller vec_id. Of rows repeated with
+non-finite components take no part. Equal scores go to the smaller vec_id; where more vectors tie at
+the last place than a search holds, the shard's vectors are all compared for that query. Of rows repeated with
 vec_id and vector one counts. With fewer candidates than k all are returned; an empty table gives
 no rows. Other columns are ignored.
 """
@@ -25,6 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.scratch import written
 
@@ -196,9 +198,42 @@ def augmented(vectors: np.ndarray) -> np.ndarray:
     return np.hstack([vectors, more[:, None]]).astype(np.float32)
 
 
+def inner(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products in double precision of each query with its own row of vectors."""
+    return np.einsum("ijk,ik->ij", vectors.astype(np.float64), queries.astype(np.float64))
+
+
+def best_nodes(vectors: np.ndarray, ids: np.ndarray, near: np.ndarray, queries: np.ndarray,
+               k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query its k best nodes of largest score, ties to the smaller id, and their scores.
+
+    `near` holds the nodes that the graph search found. Where the k-th score reaches down to the
+    last node found, up to the search's single precision, more nodes than were found may have it:
+    then all nodes of the shard that reach it take part.
+    """
+    longest = np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64).max(initial=0))
+    for at in range(0, len(queries), STEP):
+        asked, found = queries[at:at + STEP], near[at:at + STEP]
+        score = inner(vectors[np.maximum(found, 0)], asked)
+        slack = 1e-5 * longest * np.sqrt(np.einsum("ij,ij->i", asked, asked, dtype=np.float64))
+        for query, nodes, points, room in zip(asked, found, score, slack, strict=True):
+            nodes, points = nodes[nodes >= 0], points[nodes >= 0]
+            if k <= len(nodes) < len(vectors):
+                least = np.partition(points, -k)[-k]
+                if points.min() >= least - room:
+                    rough = vectors.astype(np.float64) @ query.astype(np.float64)
+                    nodes = np.flatnonzero(rough >= least - room)
+                    points = inner(vectors[None, nodes], query[None])[0]
+            best = np.lexsort((ids[nodes], -points))[:k]
+            yield nodes[best], points[best]
+
+
 def usable(embeddings: DataFrame) -> DataFrame:
-    """vec_id, vec (array<float>) of the rows that take part, each pair once."""
-    vec = F.col("embedding").cast("array<float>")
+    """vec_id, vec (array of float, or double where it is given so) of the rows that take part, each
+    pair once."""
+    given = embeddings.schema["embedding"].dataType
+    double = isinstance(given, T.ArrayType) and isinstance(given.elementType, T.DoubleType)
+    vec = F.col("embedding").cast("array<double>" if double else "array<float>")
     rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), vec.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))
@@ -207,61 +242,67 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("vec") == (length["d"] if length else 0)).dropDuplicates()
 
 
+def _number(rows: DataFrame) -> type:
+    double = isinstance(rows.schema["vec"].dataType.elementType, T.DoubleType)
+    return np.float64 if double else np.float32
+
+
 def build_index(distinct: DataFrame, shards: int) -> DataFrame:
-    """One row per shard: shard, n, dims, keys, vectors, layers (all arrays flat)."""
+    """One row per shard: shard, n, dims, keys, ids, vectors, layers (all arrays flat)."""
+    kind = _number(distinct)
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("key", ignore_index=True)
-        vectors = np.array(rows["vec"].tolist(), np.float32)
-        keys = rows["key"].to_numpy(np.int64)
+        rows = rows.sort_values(["key", "vec_id"], ignore_index=True)
+        vectors = np.array(rows["vec"].tolist(), kind)
+        keys, ids = rows["key"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64)
         draw = keys.view(np.uint64) >> np.uint64(8)
         order, layers = build_graph(augmented(vectors), draw)
         return pd.DataFrame([{
             "shard": int(rows["shard"].iloc[0]), "n": len(keys), "dims": vectors.shape[1],
-            "keys": keys[order].tobytes(), "vectors": vectors[order].tobytes(),
+            "keys": keys[order].tobytes(), "ids": ids[order].tobytes(), "vectors": vectors[order].tobytes(),
             "layers": [x.astype("<i4").tobytes() for x in layers]}])
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInPandas(
-        run, "shard int, n int, dims int, keys binary, vectors binary, layers array<binary>")
+        run, "shard int, n int, dims int, keys binary, ids binary, vectors binary, "
+             "layers array<binary>")
 
 
 def search_shards(index: DataFrame, queries: DataFrame, k: int, shards: int,
                   blocks: int) -> DataFrame:
-    """query_id, key, score: the k best distinct vectors of every shard for every query. Each
-    block of queries meets each shard once."""
+    """query_id, key, first_id, score: the k best distinct vectors of every shard for every query.
+    Each block of queries meets each shard once."""
+    kind = _number(queries)
+
     def run(found: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "key": [], "score": []}).astype(
-            {"query_id": "int64", "key": "int64", "score": "float64"})
+        empty = pd.DataFrame({"query_id": [], "key": [], "first_id": [], "score": []}).astype(
+            {"query_id": "int64", "key": "int64", "first_id": "int64", "score": "float64"})
         if not len(found) or not len(asked):
             return empty
         row = found.iloc[0]
         n, dims = int(row["n"]), int(row["dims"])
-        vectors = np.frombuffer(row["vectors"], np.float32).reshape(n, dims)
-        keys = np.frombuffer(row["keys"], np.int64)
+        vectors = np.frombuffer(row["vectors"], kind).reshape(n, dims)
+        keys, firsts = (np.frombuffer(row[c], np.int64) for c in ("keys", "ids"))
         points, layers, left = augmented(vectors), [], row["layers"]
         for i, raw in enumerate(left):
             layers.append(np.frombuffer(raw, "<i4").reshape(
                 -1, 2 * LINKS if i == 0 else LINKS).astype(np.int64))
-        wanted = np.array(asked["vec"].tolist(), np.float32)
-        flat = np.hstack([wanted, np.zeros((len(wanted), 1), np.float32)])
+        wanted = np.array(asked["vec"].tolist(), kind)
+        flat = np.hstack([wanted, np.zeros((len(wanted), 1))]).astype(np.float32)
         near = search(points, layers, flat, max(BEAM, k))
-        ids, some = asked["query_id"].to_numpy(), near >= 0
-        score = np.einsum("ijk,ik->ij", vectors[np.maximum(near, 0)].astype(np.float64),
-                          wanted.astype(np.float64))
-        score[~some] = -np.inf
-        best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-        picked = np.take_along_axis(some, best, 1)
+        picked = list(best_nodes(vectors, firsts, near, wanted, k))
+        nodes = np.concatenate([x for x, _ in picked])
         return pd.DataFrame({
-            "query_id": np.repeat(ids, best.shape[1]).reshape(best.shape)[picked],
-            "key": keys[np.take_along_axis(near, best, 1)[picked]],
-            "score": np.take_along_axis(score, best, 1)[picked]})
+            "query_id": np.repeat(asked["query_id"].to_numpy(), [len(x) for x, _ in picked]),
+            "key": keys[nodes], "first_id": firsts[nodes],
+            "score": np.concatenate([x for _, x in picked])})
 
     each = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")
     asked = queries.select("query_id", "vec", block, each)
     held = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     return held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        run, "query_id bigint, key bigint, score double")
+        run, "query_id bigint, key bigint, first_id bigint, score double")
 
 
 def nearest(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
@@ -269,19 +310,21 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     divisible by `every`."""
     rows = usable(embeddings).withColumn("key", F.xxhash64("vec"))
     # of equal vectors the k + 1 smallest ids are all that any result can name
-    named = written(rows.withColumn("nth", F.row_number().over(
-        Window.partitionBy("key", "vec").orderBy("vec_id"))).where(F.col("nth") <= k + 1),
-        "ann-vectors")
-    distinct = named.where("nth = 1").select("key", "vec")
+    same = Window.partitionBy("key", "vec").orderBy("vec_id")
+    named = written(rows.withColumn("nth", F.row_number().over(same)).withColumn(
+        "first_id", F.first("vec_id").over(same)).where(F.col("nth") <= k + 1), "ann-vectors")
+    distinct = named.where("nth = 1").select("vec_id", "key", "vec")
     shards = max(1, -(-distinct.count() // SHARD_VECTORS))
     index = written(build_index(distinct, shards), "ann-index")
     queries = rows.where(F.col("vec_id") % every == 0).select(
         F.col("vec_id").alias("query_id"), "vec")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     found = search_shards(index, queries, k + 1, shards, blocks)
+    # k + 1 vectors by score and smallest id hold the k best ids: one may have the query's id only
     merged = found.withColumn("nth", F.row_number().over(Window.partitionBy("query_id").orderBy(
-        F.desc("score"), "key"))).where(F.col("nth") <= 2 * k + 2).drop("nth")
-    hits = merged.join(named.select("key", "vec_id"), "key").where("vec_id <> query_id")
+        F.desc("score"), "first_id", "key"))).where(F.col("nth") <= k + 1).drop("nth")
+    hits = merged.join(named.select("key", "first_id", "vec_id"), ["key", "first_id"]).where(
+        "vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.select("query_id", rank.alias("rank"), "vec_id", "score").where(
         F.col("rank") <= k)

@@ -170,6 +170,21 @@ def test_nearest_neighbours(spark):
     assert np.mean(recall) >= 0.95
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_equal_scores_go_to_the_smaller_ids(spark, kind):
+    """More vectors tie than a search holds, some of them equal to each other."""
+    rows = [(0, [1.0] + [0.0] * 15)]
+    for i in range(1, 400):
+        rest = np.random.default_rng(i % 300).normal(size=15)
+        rows.append((i, [0.17, *rest.tolist()]))
+    rows += [(1000, [0.5] + [0.0] * 15), (1001, [0.0] * 14 + [1.0, 0.0])]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(5)
+    got = sorted((r["rank"], r.vec_id, r.score) for r in ann.nearest(table).collect()
+                 if r.query_id == 0)
+    tie = 0.17 if kind == "double" else float(np.float32(0.17))
+    assert got == [(1, 1000, 0.5)] + [(n + 1, n, tie) for n in range(1, 20)]
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.5, 0.0])],
                                 "vec_id long, embedding array<float>")
