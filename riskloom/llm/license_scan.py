@@ -3,7 +3,8 @@
 Every sentence or line of a text that speaks of a licence is compared with the templates, in its
 own row, and so are the sentences of its paragraphs once comment marks are gone and wrapped lines
 are joined, whatever the width they were wrapped at: sorted terms give term counts, and weights come from maps of the few template terms. The
-best template at or above the threshold is the file's own licence. A file without one takes that of
+best template at or above the threshold is the file's own licence; a template that names versions
+counts only where the sentence names the same ones. A file without one takes that of
 the nearest directory at or above its own with a licensed licence file: the ancestors of each
 distinct directory are joined with the licensed directories by path.
 
@@ -26,31 +27,58 @@ from riskloom.llm.scratch import written
 from riskloom.operators.bounded import broadcast_if_small
 
 # fixed values: how licences are named in headers and licence files
-TEMPLATES = [
+GNU = [("GPL", "General", ("2", "3")), ("LGPL", "Library General", ("2",)),
+       ("LGPL", "Lesser General", ("2.1", "3")), ("AGPL", "Affero General", ("3",))]
+CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike",
+            "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+            "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+            "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+OTHER_TEMPLATES = [
     ("MIT", "Released under the MIT License"),
     ("MIT", "Licensed under the MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
             "software and associated documentation files"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("ISC", "Licensed under the ISC License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+            "or without fee is hereby granted, provided that the above copyright notice and this "
+            "permission notice appear in all copies"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3"),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without "
                      "modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license"),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
     ("MPL-2.0", "subject to the terms of the Mozilla Public License, version 2.0"),
-    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-NC-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-                     "International License"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("EPL-1.0", "made available under the terms of the Eclipse Public License v1.0"),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
 ]
+NAMED_SPDX = ["MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-1.0",
+              "EPL-2.0", "Unlicense", *[f"CC-{c}-4.0" for c in CREATIVE]]
+
+
+def _templates() -> list[tuple[str, str]]:
+    """The sentences above, those of the GNU and Creative Commons families, identifier lines."""
+    out = list(OTHER_TEMPLATES)
+    for short, family, versions in GNU:
+        for v in versions:
+            name = f"{short}-{v}" if "." in v else f"{short}-{v}.0"
+            out += [
+                (name, f"This work is licensed under the GNU {family} Public License, version {v}"),
+                (name, f"you can redistribute it and/or modify it under the terms of the GNU "
+                       f"{family} Public License as published by the Free Software Foundation, "
+                       f"either version {v}"),
+                *[(name, f"SPDX-License-Identifier: {name}{end}")
+                  for end in ("", "+", "-only", "-or-later")]]
+    for code, long in CREATIVE.items():
+        out += [(f"CC-{code}-4.0", f"Licensed under CC {code} 4.0"),
+                (f"CC-{code}-4.0", f"licensed under a Creative Commons {long} 4.0 International "
+                                   "License")]
+    return out + [(name, f"SPDX-License-Identifier: {name}") for name in NAMED_SPDX]
+
+
+TEMPLATES = _templates()
 # whole sentences, compared with joined lines only
 JOINED_TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -85,6 +113,14 @@ def template_terms() -> tuple[dict[str, float], float, list[dict[str, float]]]:
         {t: w / n for t, w in v.items()} for v, n in zip(vectors, lengths, strict=True)]
 
 
+def versions_named(text: str) -> list[list[str]]:
+    """For each version a template names, the terms that say the same."""
+    bare = {re.sub(r"(?<=\d)\.0$", "", t.lstrip("v"))
+            for t in re.findall(TERM, text.lower()) if re.fullmatch(r"v?\d[\d.]*", t)}
+    return [[t + end for t in (n, "v" + n) for end in ("", *([".0"] if "." not in n else []))]
+            for n in sorted(bare)]
+
+
 def joined_terms() -> list[dict[str, float]]:
     """The terms of the joined templates, weighted as those of any text."""
     weight, other, _ = template_terms()
@@ -129,15 +165,20 @@ def own_license(text: Column) -> Column:
         def scored(found: Column) -> Column:
             length = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
 
-            def cosine(vector: dict[str, float]) -> Column:
+            def cosine(text: str, vector: dict[str, float]) -> Column:
                 dot = F.aggregate(found, F.lit(0.0), lambda a, x: (
                     a + x["w"] * _lookup(vector, x["t"], 0.0)))
-                return F.round(F.coalesce(F.try_divide(dot, length), F.lit(0.0)), 6)
+                value = F.round(F.coalesce(F.try_divide(dot, length), F.lit(0.0)), 6)
+                for same in versions_named(text):
+                    value = F.when(F.arrays_overlap(
+                        F.transform(found, lambda x: x["t"]), F.array(*map(F.lit, same))),
+                        value).otherwise(0.0)
+                return value
 
             return F.array_max(F.array(*[
-                F.struct(cosine(v).alias("score"), F.lit(-k).alias("order"),
+                F.struct(cosine(words, v).alias("score"), F.lit(-k).alias("order"),
                          F.lit(name).alias("license"))
-                for k, ((name, _), v) in enumerate(forms)]))
+                for k, ((name, words), v) in enumerate(forms)]))
         return let(terms(unit), scored)
 
     def units(t: Column, end: str) -> Column:
@@ -160,7 +201,7 @@ def scan(files: DataFrame) -> DataFrame:
             "own.score", "own.order", F.col("path"))).alias("given"))
     parts = F.split("dir", "/")
     ancestors = own.select("dir").where("dir is not null").distinct().select(
-        "dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(
+        "dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.struct(
             k.alias("depth"), F.array_join(F.slice(parts, 1, k), "/").alias("up")))).alias("a"))
     inherited = ancestors.select("dir", "a.depth", "a.up").join(
         broadcast_if_small(written(given, "license-dirs")), "up").groupBy("dir").agg(
@@ -198,9 +239,12 @@ def oracle() -> str:
     weight, other, templates = template_terms()
     entries = [(-k, name, t, w) for k, ((name, _), v) in enumerate(
         zip(TEMPLATES, templates, strict=True)) for t, w in v.items()]
+    versions = [(-k, n, t) for k, (_, text) in enumerate(TEMPLATES)
+                for n, same in enumerate(versions_named(text)) for t in same]
     return f"""
 WITH vocabulary(term, weight) AS (VALUES {_values(list(weight.items()))}),
 templates("order", license, term, weight) AS (VALUES {_values(entries)}),
+versions("order", version, term) AS (VALUES {_values(versions)}),
 files AS (
   SELECT row_number() OVER () AS row_no, doc_id, text, CASE WHEN doc_id IS NOT NULL THEN
     coalesce(source, 'unknown') || '/' || CAST(doc_id // 1000 AS VARCHAR) || '/'
@@ -219,6 +263,10 @@ lengths AS (SELECT unit_no, sqrt(sum(w * w)) AS length FROM terms GROUP BY unit_
 scores AS (
   SELECT row_no, round(sum(w * t.weight) / any_value(length), 6) AS score, "order", license
   FROM terms JOIN templates t USING (term) JOIN lengths USING (unit_no)
+  WHERE NOT EXISTS (
+    SELECT 1 FROM (SELECT DISTINCT "order", version FROM versions) v WHERE v."order" = t."order"
+    AND (unit_no, v."order", v.version) NOT IN (
+      SELECT unit_no, "order", version FROM terms JOIN versions USING (term)))
   GROUP BY row_no, unit_no, "order", license),
 own AS (
   SELECT row_no, arg_max(license, (score, "order")) AS license, max(score) AS score,
@@ -234,7 +282,7 @@ given AS (
 inherited AS (
   SELECT dir, arg_max(given, length(up)) AS given, arg_max(up, length(up)) AS up
   FROM (SELECT DISTINCT dir FROM placed) JOIN given
-    ON dir = up OR starts_with(dir, up || '/') GROUP BY dir)
+    ON dir = up OR up = '' OR starts_with(dir, up || '/') GROUP BY dir)
 SELECT doc_id, path, coalesce(license, given) AS license, score,
        CASE WHEN license IS NOT NULL THEN 'own' WHEN given IS NOT NULL THEN 'inherited'
             ELSE 'none' END AS origin,

@@ -268,6 +268,45 @@ def test_nearest_directory_wins(spark):
                    8: ("MIT", "inherited", "r")}
 
 
+def test_licence_of_the_root_reaches_every_relative_path(spark):
+    mit = "Released under the MIT License"
+    files = spark.createDataFrame(
+        [(1, "LICENSE", mit), (2, "main.py", "x"), (3, "src/a.py", "x"), (4, "src/b/c.py", ""),
+         (5, None, "x"), (6, "docs/LICENSE", "Licensed under the ISC License"), (7, "docs/a", "x")],
+        "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.licensed_dir) for r in license_scan.scan(files).collect()}
+    assert got == {1: ("MIT", None), 2: ("MIT", ""), 3: ("MIT", ""), 4: ("MIT", ""),
+                   5: (None, None), 6: ("ISC", None), 7: ("ISC", "docs")}
+
+
+def test_sibling_licences_are_told_apart(spark):
+    gnu = ("you can redistribute it and/or modify\n# it under the terms of the GNU {} Public License "
+           "as\n# published by the Free Software Foundation, either version {} of the License, or\n"
+           "# (at your option) any later version.")
+    cases = [
+        ("GPL-2.0", "# " + gnu.format("General", "2")), ("GPL-3.0", "# " + gnu.format("General", 3)),
+        ("LGPL-2.1", "# " + gnu.format("Lesser General", "2.1")),
+        ("LGPL-3.0", "# " + gnu.format("Lesser General", "3")),
+        ("AGPL-3.0", "# " + gnu.format("Affero General", "3")),
+        ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.0"),
+        (None, "This work is licensed under the GNU General Public License, version 1"),
+        ("LGPL-2.0", "This work is licensed under the GNU Library General Public License, version 2"),
+        ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"), ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+        (None, "Licensed under CC BY-SA 3.0"),
+        ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons "
+                            "Attribution-NonCommercial-ShareAlike 4.0 International License."),
+        ("BSD-2-Clause", "// Licensed under the BSD 2-Clause License"),
+        ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+        ("Unlicense", "This is free and unencumbered software released into the public domain."),
+        ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only"),
+        ("LGPL-3.0", "// SPDX-License-Identifier: LGPL-3.0-or-later"),
+        ("ISC", "/* SPDX-License-Identifier: ISC */")]
+    files = spark.createDataFrame([(i, f"d{i}/f", t) for i, (_, t) in enumerate(cases)],
+                                  "doc_id long, path string, text string")
+    got = {r.doc_id: r.license for r in license_scan.scan(files).collect()}
+    assert [(got[i], t) for i, (_, t) in enumerate(cases)] == cases
+
+
 def test_pipeline(spark, marks, edge, empty, tmp_path):
     folder = "/root/testdata/sf0.001"
     pieces = corpus_pipeline.run(spark, folder).collect()
