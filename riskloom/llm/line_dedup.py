@@ -9,9 +9,10 @@ each page is then filtered in its own row.
 
 Edge cases: a null text has no lines and stays null; blank lines are never boilerplate and stay.
 A null host is a host of its own. A line counts once per page. Repeated rows are pages of their
-own, unless `by_text` counts pages of equal text once: then a group of copies is no boilerplate,
-however large, and is left whole for the deduplication that follows. Lines are compared exactly.
-Other columns are kept as they are. A page may end up empty.
+own, unless `by_group` counts a line once for each group of near copies (and once for a repeated
+doc_id, or for pages without a doc_id of equal text): then what such a group shares is no
+boilerplate, however large it is, and is left whole for the deduplication that follows. Lines are
+compared exactly. Other columns are kept as they are, one called n_dropped too. A page may end up empty.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.jaccard_join import near_groups
 from riskloom.llm.scratch import written
 from riskloom.operators.bounded import broadcast_if_small
 
 HOST, BOILERPLATE = "__line_host", "__line_boilerplate"
+GROUP, DROPPED = "__line_group", "__line_dropped"
 
 
 def _has_word(line: Column) -> Column:
@@ -30,13 +33,13 @@ def _has_word(line: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float,
-                min_pages: int, by_text: bool = False) -> DataFrame:
-    """One row per host that has any: the host and the digests of its boilerplate lines."""
+                min_pages: int, unit: Column | None = None) -> DataFrame:
+    """One row per host that has any: the host and the digests of its boilerplate lines. Pages of
+    one `unit` count once."""
     lines = F.array_distinct(F.filter(F.split(text, "\n"), _has_word))
-    whole = F.unhex(F.md5(F.coalesce(text, F.lit(""))))
     each = pages.select(host.alias(HOST), lines.alias("lines"),
-                        *([whole.alias("whole")] if by_text else []))
-    number = F.count_distinct("whole") if by_text else F.count("*")
+                        *([] if unit is None else [unit.alias("unit")]))
+    number = F.count("*") if unit is None else F.count_distinct("unit")
     totals = each.groupBy(HOST).agg(number.alias("pages"))
     counts = each.withColumn("line", F.explode("lines")).groupBy(
         HOST, F.unhex(F.md5("line")).alias("digest")).agg(number.alias("n"))
@@ -47,12 +50,26 @@ def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float,
         F.array_sort(F.collect_list(F.lower(F.hex("digest")))).alias(BOILERPLATE))
 
 
+def grouped(docs: DataFrame, text: str) -> tuple[DataFrame, Column]:
+    """`docs` with the group of those that are near copies of another, and what names the group of
+    any document. Only members other than a group's first are named in the joined table."""
+    groups = near_groups(docs).where("component_id <> doc_id").groupBy(
+        F.col("doc_id").alias("__line_doc")).agg(F.min("component_id").alias(GROUP))
+    doc = F.col("doc_id").cast("bigint")
+    named = docs.join(broadcast_if_small(written(groups, "line-groups")),
+                      doc == F.col("__line_doc"), "left")
+    return named, F.coalesce(F.col(GROUP).cast("string"), doc.cast("string"),
+                             F.md5(F.coalesce(text, F.lit(""))))
+
+
 def drop_boilerplate(pages: DataFrame, host: Column, text: str, ratio: float = 0.1,
-                     min_pages: int = 5, by_text: bool = False) -> DataFrame:
+                     min_pages: int = 5, by_group: bool = False,
+                     dropped: str = "n_dropped") -> DataFrame:
     """`pages` with `text` rid of boilerplate lines, and n_dropped, the number of lines gone."""
     host = F.coalesce(host.cast("string"), F.lit(""))
+    counted, unit = grouped(pages, text) if by_group else (pages, None)
     listed = broadcast_if_small(written(
-        boilerplate(pages, host, F.col(text), ratio, min_pages, by_text), "line-boilerplate"))
+        boilerplate(counted, host, F.col(text), ratio, min_pages, unit), "line-boilerplate"))
     joined = pages.withColumn(HOST, host).join(listed, HOST, "left")
     lines = F.split(F.col(text), "\n")
     # what of the list occurs here is found by hashing, whatever the list's length
@@ -62,7 +79,7 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: str, ratio: float = 0
     marked = joined.withColumn("__present", F.coalesce(present, F.array().cast("array<string>")))
     out = marked.withColumn("__kept", F.when(F.size("__present") > 0, kept))
     changed = F.col("__kept").isNotNull()
-    return out.withColumn("n_dropped", F.when(
+    return out.withColumn(dropped, F.when(
         changed, F.size(lines) - F.size("__kept")).otherwise(0).cast("bigint")).withColumn(
         text, F.when(changed, F.array_join("__kept", "\n")).otherwise(F.col(text))).drop(
         HOST, BOILERPLATE, "__present", "__kept")
@@ -99,14 +116,12 @@ def dedup_pages(pages: DataFrame, ratio: float = 0.1, min_pages: int = 5) -> Dat
 
 
 def dedup_documents(docs: DataFrame, ratio: float = 0.1, min_pages: int = 5,
-                    by_text: bool = False) -> DataFrame:
+                    by_group: bool = False) -> DataFrame:
     """Documents with their source as host; n_chars follows the text, other columns stay."""
-    out = drop_boilerplate(docs, F.col("source"), "text", ratio, min_pages, by_text)
-    if "n_dropped" in docs.columns:
-        raise ValueError("the column n_dropped is this operator's own")
+    out = drop_boilerplate(docs, F.col("source"), "text", ratio, min_pages, by_group, DROPPED)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
-            F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
+            F.col(DROPPED) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(
             docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 

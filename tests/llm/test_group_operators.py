@@ -347,6 +347,20 @@ def test_line_stage_leaves_large_groups_of_copies_whole(spark):
     assert [r.text for r in kept if r.doc_id < 40] == [copy] and len(kept) == 81
 
 
+def test_line_stage_leaves_near_copies_whole(spark):
+    shared = [words(700 + k, 20) for k in range(11)]
+    rows = [(i, "\n".join([*shared, words(i, 20)]), "hot", "mine") for i in range(30)]
+    rows += [(i, "subscribe to our letter\n" + words(i, 60), "hot", "mine") for i in range(30, 120)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, source string, n_dropped string").repartition(3)
+    after = corpus_pipeline.STAGES[1][1](spark, docs, "")
+    assert after.columns == docs.columns
+    got = {r.doc_id: (r.text, r.n_dropped) for r in after.collect()}
+    assert got == {i: (t if i < 30 else t.split("\n")[1], m) for i, t, _, m in rows}
+    kept = [r.text for r in jaccard_join.one_of_each(after).collect() if r.doc_id < 30]
+    assert kept == [rows[0][1]]
+
+
 def test_without_the_subpackage_the_rest_still_imports():
     code = ("import sys, importlib.abc\n"
             "class Gone(importlib.abc.MetaPathFinder):\n"
