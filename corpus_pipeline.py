@@ -19,8 +19,8 @@ def keep_by_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # copies are still there and would make their own lines boilerplate
-    return line_dedup.dedup_documents(docs, by_text=True)
+    # copies and near copies are still there and would make their own lines boilerplate
+    return line_dedup.dedup_documents(docs, by_group=True)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# learned rules, components and tokens are beyond SQL: tests hold run() against brute force
+# learned rules, components and tokens are beyond SQL: the tests of the operators hold each stage's
+# results against brute force
 ORACLE_SQL = None
 
 
