@@ -41,7 +41,7 @@ from riskloom.operators.bounded import broadcast_if_small
 
 WORDS = 5
 PER_CENT = 80             # link: 100 * intersection >= PER_CENT * union
-BITS_PER_SHINGLE = 4
+BITS_PER_SHINGLE = 2
 CHUNK = 2_000_000         # shingles counted together when frequent ones are looked for
 HEAVY_LIMIT = 1_000_000   # frequent shingles put last, at most; bounds the broadcast (8 MB), and
                           # with it only the speed, as any order gives the same links
