@@ -2,12 +2,15 @@
 
 Besides the base patterns, every long string near a sensitive word is a candidate. Its novelty is
 its marginal size: what compressing it after its surroundings adds to compressing them alone, with
-a dictionary of identifiers and of usual placeholder strings primed. Words, names used nearby and
-placeholders cost a few bytes; keys cost nearly their length and are reported as `novel`.
+two dictionaries primed: the words in most documents of the corpus (`learn_words`) and usual
+placeholder strings. Words, names used nearby and placeholders cost a few bytes; keys cost their
+length and are reported as `novel`. Only matches are counted, literals are not entropy-coded, so a
+random string costs its length whatever its alphabet and however long it is.
 
 Edge cases: a null text is scanned as an empty one and stays null when redacted. Positions are
-code points, ends exclusive. Rows are independent; repeated rows give equal results. Other columns
-are kept by `redact` and ignored by `scan`.
+code points, ends exclusive. Rows are independent but for the dictionary, which no order of rows
+and no repeated row changes by more than its count; repeated rows give equal results. Empty tables
+give no rows and an empty dictionary. Other columns are kept by `redact` and ignored by `scan`.
 """
 
 from __future__ import annotations
@@ -19,9 +22,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.bpe import id_text
+from riskloom.llm.scratch import written
 
 # fixed values: the base patterns
 ASSIGN = re.compile(
@@ -37,11 +42,17 @@ SENSITIVE = re.compile(
     r"|token|session)",
     re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CAPITALS = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+JOINS = re.compile(r"[+/_=-]")
 REACH = 64            # code points from a sensitive word to the nearer end, and around a candidate
 LEAST_NOVELTY = 0.8   # marginal bytes per byte of the candidate
 
-# what a primed dictionary explains: alphabets, placeholders, identifiers
-DICTIONARY = zstandard.ZstdCompressionDict((
+WORD_BYTES = 64 << 10  # of the corpus dictionary, so also the bound of what is sent to the driver
+WORD_LENGTHS = (4, 15)
+CLASSES = 8
+
+# what the primed dictionary explains besides words: alphabets, placeholders, identifiers
+USUAL = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 01234567890123456789 "
     "0123456789abcdef 0123456789ABCDEF xxxxxxxxxxxxxxxx XXXXXXXXXXXXXXXX 0000000000000000 "
     "________________ ---------------- ================ deadbeef qwertyuiop "
@@ -52,28 +63,65 @@ DICTIONARY = zstandard.ZstdCompressionDict((
     "config configuration environment variable settings getenv process module function return "
     "class import export string number boolean object array length index value result response "
     "request header content type application json encode decode base64 sha256 version license "
-    "https http www com org net html index path file name user admin root localhost server client"
-).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-
-_COMPRESSORS: list[zstandard.ZstdCompressor] = []
+    "https http www com org net html index path file name user admin root localhost server client")
+
+# matches of six characters and more; `fast` with a step leaves literals as they are
+PARAMETERS = zstandard.ZstdCompressionParameters(
+    window_log=20, hash_log=18, min_match=6, target_length=1, strategy=zstandard.STRATEGY_FAST,
+    write_content_size=False, write_dict_id=False)
+
+_COMPRESSORS: dict[str, zstandard.ZstdCompressor] = {}
+
+
+def learn_words(docs: DataFrame) -> str:
+    """The words in most documents, rarest first, `WORD_BYTES` at most.
+
+    Words are counted by one aggregate over whole texts, written, and cut where a class of
+    frequency (`CLASSES` to a doubling) would no longer fit; equal counts are in or out together, so
+    the driver gets a row per class and no more words than fit. Words of capitals and lower-case
+    letters are parts of identifiers too (`getUserName`: get, User, Name).
+    """
+    shortest, longest = WORD_LENGTHS
+    words = F.array_distinct(F.transform(
+        F.regexp_extract_all("text", F.lit("[A-Za-z][a-z]++"), F.lit(0)), F.lower))
+    counts = written(
+        docs.select(F.explode(words).alias("word"))
+        .where(F.length("word").between(shortest, longest))
+        .groupBy("word").agg(F.count("*").alias("n"))
+        .select("word", F.floor(F.log2("n") * CLASSES).cast("int").alias("class")), "words")
+    size, least = 0, None
+    for row in counts.groupBy("class").agg(
+            F.sum(F.length("word") + 1).alias("bytes")).orderBy(F.desc("class")).collect():
+        size += row.bytes
+        if size > WORD_BYTES:
+            break
+        least = row["class"]
+    if least is None:
+        return ""
+    taken = counts.where(F.col("class") >= least).collect()
+    return " ".join(w for _, w in sorted((r["class"], r.word) for r in taken))
 
 
-def _size(data: bytes) -> int:
-    if not _COMPRESSORS:  # one per worker
-        _COMPRESSORS.append(zstandard.ZstdCompressor(
-            level=9, dict_data=DICTIONARY, write_content_size=False, write_dict_id=False))
-    return len(_COMPRESSORS[0].compress(data))
+def _size(data: bytes, words: str) -> int:
+    if words not in _COMPRESSORS:  # one per worker and dictionary
+        primed = zstandard.ZstdCompressionDict(
+            f"{words} {USUAL}".encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primed.precompute_compress(compression_params=PARAMETERS)
+        _COMPRESSORS.clear()
+        _COMPRESSORS[words] = zstandard.ZstdCompressor(
+            compression_params=PARAMETERS, dict_data=primed)
+    return len(_COMPRESSORS[words].compress(data))
 
 
-def novelty(candidate: str, before: str, after: str) -> float:
-    """Marginal compressed bytes of `candidate` per byte, given its surroundings."""
-    around = (before + "\n" + after + "\n").encode()
-    return (_size(around + candidate.encode()) - _size(around)) / len(candidate.encode())
+def _plain(text: str) -> bytes:
+    """Words as the dictionary has them: lower case, apart at capitals and at joining signs."""
+    return JOINS.sub(" ", CAPITALS.sub(" ", text)).lower().encode()
 
 
-def _mixed(candidate: str) -> bool:
-    """Letters and digits both: what a word or a number isn't."""
-    return any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)
+def novelty(candidate: str, before: str, after: str, words: str = "") -> float:
+    """Marginal compressed bytes of `candidate` per byte, given its surroundings."""
+    around, added = _plain(before + "\n" + after + "\n"), _plain(candidate)
+    return (_size(around + added, words) - _size(around, words)) / len(added)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -88,7 +136,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def novel_spans(
+    text: str, base: list[tuple[int, int, int]], words_known: str = ""
+) -> list[tuple[int, int, int]]:
     """(start, kind, end) of incompressible strings in a sensitive context, off the base spans."""
     words = [(m.start(), m.end()) for m in SENSITIVE.finditer(text)]
     spans, k = [], 0
@@ -100,17 +150,17 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             break
         if words[k][0] > m.end() + REACH:
             continue
-        if not _mixed(m[0]) or any(s < m.end() and m.start() < e for s, _, e in base):
+        if any(s < m.end() and m.start() < e for s, _, e in base):
             continue
         before, after = text[max(0, m.start() - REACH):m.start()], text[m.end():m.end() + REACH]
-        if novelty(m[0], before, after) >= LEAST_NOVELTY:
+        if novelty(m[0], before, after, words_known) >= LEAST_NOVELTY:
             spans.append((m.start(), 3, m.end()))
     return spans
 
 
-def all_spans(text: str) -> tuple[list, list]:
+def all_spans(text: str, words_known: str = "") -> tuple[list, list]:
     base = base_spans(text)
-    return base, sorted(base + novel_spans(text, base))
+    return base, sorted(base + novel_spans(text, base, words_known))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -119,11 +169,13 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_novel; one row per document."""
+    known = learn_words(docs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
-                base, spans = all_spans(text or "")
+                base, spans = all_spans(text or "", known)
                 kinds = [k for _, k, _ in spans]
                 rows.append((*map(kinds.count, (0, 1, 2)),
                              hashlib.sha256(_joined(base).encode()).hexdigest(),
@@ -139,9 +191,9 @@ def scan(docs: DataFrame) -> DataFrame:
              "spans string, n_novel bigint")
 
 
-def redacted(text: str, mark: str) -> str:
+def redacted(text: str, mark: str, words_known: str = "") -> str:
     out, at = [], 0
-    for start, _, end in all_spans(text)[1]:
+    for start, _, end in all_spans(text, words_known)[1]:
         if start >= at:
             out += [text[at:start], mark]
         at = max(at, end)
@@ -151,6 +203,7 @@ def redacted(text: str, mark: str) -> str:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every span replaced by `mark`; n_chars follows the text, other columns stay."""
     names = docs.columns
+    known = learn_words(docs)
     whole = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +211,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             columns = list(batch.columns)
             at = names.index("text")
             texts = columns[at].to_pylist()
-            clean = [t and redacted(t, mark) for t in texts]
+            clean = [t and redacted(t, mark, known) for t in texts]
             columns[at] = pa.array(clean, columns[at].type)
             if "n_chars" in names:
                 k = names.index("n_chars")

@@ -235,7 +235,7 @@ LONG = hashlib.shake_256(b"long").hexdigest(50).upper()
 @pytest.mark.parametrize("text, found", [
     (f"password => '{KEY}'", "novel:13:38"), (f"run --password {KEY}", "novel:15:40"),
     (f"passwd({KEY})", "novel:7:32"), (f"the PassWord is {KEY}", "novel:16:41"),
-    ("Zq" + LONG + " # auth token", ""),                   # hexadecimal compresses
+    ("Zq" + LONG + " # auth token", "novel:0:102"),        # half a byte a digit, all of it new
     (4 * KEY[:5] + " nothing", ""), (KEY + " " * 65 + "auth", ""),
     (KEY + " " * 64 + "auth", "novel:0:25"), ("auth" + " " * 64 + KEY, "novel:68:93"),
     ("auth" + " " * 65 + KEY, "")])
@@ -250,6 +250,51 @@ def test_novel_strings_of_any_length_before_the_word(n):
     assert secret_scan._joined(secret_scan.all_spans(key + " # auth token")[1]) == f"novel:0:{n}"
 
 
+ALPHABETS = (string.ascii_letters + string.digits + "+/", "0123456789ABCDEF", string.ascii_letters,
+             string.ascii_lowercase + string.digits)
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+@pytest.mark.parametrize("n", [20, 64, 300, 2000])
+def test_random_strings_of_any_alphabet_and_length_are_novel(alphabet, n):
+    draw = random.Random(n)
+    keys = ["".join(draw.choice(alphabet) for _ in range(n)) for _ in range(200)]
+    assert sum(f"novel:12:{12 + n}" == secret_scan._joined(
+        secret_scan.all_spans(f"private key {k} here")[1]) for k in keys) >= 198
+
+
+def test_identifiers_of_the_words_of_a_corpus_are_not_novel(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = secret_scan.learn_words(docs)
+    assert 1000 < len(known) < secret_scan.WORD_BYTES
+    counts = Counter()
+    for r in docs.select("text").collect():
+        counts.update({w.lower() for w in re.findall("[A-Za-z][a-z]+", r.text or "")})
+    classes = {w: int(np.floor(np.log2(n) * secret_scan.CLASSES))
+               for w, n in counts.items() if 4 <= len(w) <= 15}
+    due, size = [], 0
+    for c in sorted(set(classes.values()), reverse=True):
+        level = [w for w in classes if classes[w] == c]
+        size += sum(len(w) + 1 for w in level)
+        if size > secret_scan.WORD_BYTES:
+            break
+        due += level
+    assert known.split() == sorted(due, key=lambda w: (classes[w], w))
+    draw, found = random.Random(3), 0
+    for i in range(2000):
+        words = [draw.choice(due) for _ in range(draw.randint(4, 8))]
+        name = ("_".join(words), "/".join(words), "-".join(words).upper(),
+                words[0] + "".join(map(str.title, words[1:])))[i % 4]
+        found += bool(secret_scan.all_spans(f"private key {name} here", known)[1])
+    assert found <= 20
+
+
+def test_secret_scan_learns_nothing_from_no_text(spark):
+    none = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert secret_scan.learn_words(none) == "" and secret_scan.learn_words(none.limit(0)) == ""
+    assert [r.spans for r in secret_scan.scan(none).collect()] == ["", ""]
+
+
 @pytest.mark.parametrize("docs", ["edge", "small", "empty"])
 def test_classifier_scores_every_document(request, docs, marks):
     docs = request.getfixturevalue(docs)
