@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 KEY, WRITER, BUCKET = "key", "written_by", "bucket"
 BUCKETS = 16
 PUSHED = 20_000  # keys pushed down at most: 2 MB of text for ids of 100 characters
+CHAINED = 10
 WRONG = 1e-6  # of absent keys, the share a Bloom filter takes for present
 BLOOM_BYTES = 16 << 20
 PUSHDOWN = "spark.sql.parquet.pushdown.inFilterThreshold"
@@ -108,8 +109,9 @@ class SeenKeys:
         return rows.where(F.col(BUCKET).isin(list(buckets)) & F.col(KEY).isin(list(keys)))
 
     def pushing(self):
-        """The setting under which long lists of keys reach the Parquet reader."""
-        return _setting(self.spark, PUSHDOWN, str(PUSHED))
+        """The setting under which lists of keys reach the Parquet reader: beyond `CHAINED` keys as
+        one set. A chain of alternatives as long as the list would overflow the stack."""
+        return _setting(self.spark, PUSHDOWN, str(CHAINED))
 
     def among(self, batch: DataFrame, label: str) -> DataFrame:
         """`columns` of the rows of `batch` that another batch than `label` has written, once."""

@@ -91,3 +91,9 @@ def test_small_batches_leave_repeats_of_earlier_batches_out(spark, lake):
     assert silver.count() == silver.select("transaction_id").distinct().count()
     recon = lake.table("audit.reconciliation_results")
     assert recon.where("reconciliation_status <> 'PASSED'").count() == 0
+
+
+def test_as_many_keys_as_are_pushed_need_no_stack(spark, lake):
+    lake.append(TABLE, ids(spark, 0, 30_000), "old")
+    asked = ids(spark, 30_000 - 5, 30_000 - 5 + seen.PUSHED)
+    assert known(lake, asked) == [f"T{i:09d}" for i in range(30_000 - 5, 30_000)]
