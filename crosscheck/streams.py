@@ -22,6 +22,7 @@ from riskloom.operators import audit, history, rules
 from riskloom.plans import gold, silver
 from riskloom.schemas import DDL, EVENT_DDL, FEED_DDL, column_names
 from riskloom.session import run_dir
+from riskloom.sources import compaction
 from riskloom.sources.events import parse_events, read_event_files
 from riskloom.sources.files import scan_csv
 from riskloom.sources.registry import SOURCES
@@ -455,3 +456,24 @@ def _(v):
         F.col(part).alias("part"), "transaction_count", "total_amount_cad")
         for table, part in parts)
     return risk.unionByName(daily)
+
+
+@query("compact_closed_days", duckdb_with("txn") + """
+SELECT transaction_id, customer_id, merchant_id, amount, currency, transaction_timestamp, 1 AS packed_per_day
+FROM txn""")
+def _(v):
+    """Twelve micro-batches of two streams, compacted twice with more batches between: every row
+    is there once, and each day has one partition."""
+    table = "silver.transactions"
+    lake = new_lake(v, table)
+    dealt = F.pmod(F.crc32("transaction_id"), F.lit(12))
+    for i in range(12):
+        lake.append(table, v.txn.where(dealt == i), f"landed{i % 2}-{i // 2:010d}")
+        if i == 7:
+            compaction.compact(lake, table)
+    compaction.compact(lake, table)
+    days = compaction.packed_days(lake, table)
+    return lake.table(table).select(
+        "transaction_id", "customer_id", "merchant_id", "amount", "currency",
+        "transaction_timestamp").withColumn(
+        "packed_per_day", F.lit(int(len(days) == len(set(days)) > 0)))

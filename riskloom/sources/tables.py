@@ -41,6 +41,26 @@ DATED = {"gold.transactions_enriched": "transaction_timestamp"}
 NO_TIME = datetime.date(1900, 1, 1)  # period of rows without a time
 NUMBERED = re.compile(r"(.*)-(\d{10})")  # batch labels of a stream: its batches come in order
 
+# Time columns appended tables are compacted by (`sources/compaction.py`).
+CLOCK = {
+    "bronze.transactions_raw": "ingestion_timestamp",
+    "bronze.customers_raw": "ingestion_timestamp",
+    "bronze.exchange_rates_raw": "ingestion_timestamp",
+    "bronze.fraud_alerts_raw": "ingestion_timestamp",
+    "bronze.merchants_raw": "ingestion_timestamp",
+    "silver.transactions": "transaction_timestamp",
+    "gold.transactions_with_fraud_alerts": "transaction_timestamp",
+    "quarantine.invalid_transactions": "quarantined_at",
+    "audit.batch_load_history": "load_timestamp",
+    "audit.pipeline_health": "created_at",
+    "audit.reconciliation_results": "validation_timestamp",
+}
+PACKED = "packed-"  # labels of compacted days
+HIDDEN = "hidden.batches"
+
+# Tables that take up another's batches one by one, where they are laid out by period.
+READERS = {"silver.transactions": ["gold.transactions_enriched"]}
+
 # Appended tables that hold a key once: their batches ask which keys are there already.
 KEYS = {
     "silver.transactions": ["transaction_id"],
@@ -113,8 +133,48 @@ class Lakehouse:
         detail = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}")
         return detail.filter("col_name = 'Location'").first()["data_type"]
 
+    def beside(self, table: str, run: str) -> str:
+        """A folder for packed rows of a table, outside the one its streams read."""
+        layer, short = table.split(".")
+        return f"{self.root}/{layer}/{short}-packed-{run}"
+
+    def hidden(self, table: str) -> list[str]:
+        """Labels of partitions that readers leave out: a compaction adds or drops them."""
+        shown = self._property(table, HIDDEN)
+        return json.loads(shown) if shown else []
+
+    def hide(self, table: str, labels: Sequence[str]) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} "
+                       f"SET TBLPROPERTIES ('{HIDDEN}' = '{json.dumps(list(labels))}')")
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def _property(self, table: str, key: str) -> str | None:
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(
+            F.col("key") == key).first()
+        return shown and shown["value"]
+
+    def readers(self, table: str) -> list[str]:
+        """Tables that ask for the batches of `table` they have not had (`unread`)."""
+        return [r for r in READERS.get(table, []) if self.dated(r)]
+
+    def _shown(self, table: str) -> DataFrame:
+        rows = self.spark.table(self.name(table))
+        hidden = self.hidden(table) if table in APPENDED else []
+        return rows.where(~F.col(BATCH).isin(hidden)) if hidden else rows
+
     def table(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table)).drop(BATCH, PERIOD)
+        return self._shown(table).drop(BATCH, PERIOD)
+
+    def days(self, table: str, first: datetime.date, last: datetime.date) -> DataFrame:
+        """Rows of an appended table from `first` to `last`; packed partitions of other days are
+        pruned, batches not yet compacted are read by their statistics."""
+        after = last + datetime.timedelta(days=1)
+        label, time = F.col(BATCH), F.col(CLOCK[table])
+        loose = ~label.startswith(PACKED)
+        packed = (label >= f"{PACKED}{first}") & (label < f"{PACKED}{after}")
+        return self._shown(table).where(
+            (loose | packed) & (time >= F.lit(first).cast("timestamp"))
+            & (time < F.lit(after).cast("timestamp"))).drop(BATCH)
 
     def periods(self, table: str, periods: Sequence[datetime.date]) -> DataFrame:
         """Rows of some periods of a dated table; the others' folders aren't listed."""
@@ -168,6 +228,8 @@ class Lakehouse:
             return
         # written as a folder, so that rows may come from the table's other batches
         label = batch or uuid.uuid4().hex
+        if label.startswith(PACKED):
+            raise ValueError(f"{label}: the name of a compacted day")
         rows.write.format(self.fmt).mode("overwrite").save(
             f"{self.location(table)}/{BATCH}={label}")
         self.spark.sql(f"ALTER TABLE {self.name(table)} "
@@ -240,11 +302,12 @@ class Lakehouse:
     def unread(self, table: str, reader: str) -> tuple[list[str], str]:
         """Labels of the batches of `table` that `reader` has not taken up, and the mark to set
         once it has. A mark has the last batch of each stream and the labels of other appends."""
-        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(reader)}").where(
-            F.col("key") == f"read.{table}").first()
-        mark = json.loads(shown["value"]) if shown else {}
+        shown = self._property(reader, f"read.{table}")
+        mark = json.loads(shown) if shown else {}
         new, last = [], dict(mark)
         for label in self.batches(table):
+            if label.startswith(PACKED):  # only batches that were taken up are compacted
+                continue
             numbered = NUMBERED.fullmatch(label)
             stream, at = (numbered[1], int(numbered[2])) if numbered else (label, 0)
             if at > mark.get(stream, -1):
