@@ -229,21 +229,32 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_literals: int = 3,
     return grown
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DecisionList]:
-    """The counts and features of all documents, written once, and the rules learned from
-    those with a quality label."""
-    counts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                         text_counts(F.col("text")).alias("c"))
-    table = written(
-        counts.select("doc_id", "c", *[v.alias(f) for f, v in features(F.col("c")).items()],
-                      base_failed(F.col("c")).alias("base_failed")), "quality-counts")
+def learned(table: DataFrame, labels: DataFrame) -> DecisionList:
+    """The rules learned from the rows of `table` (doc_id, base_failed, FEATURES) with a quality
+    label."""
     known = labels.where("doc_id is not null and quality is not null").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("quality") == 0).alias("bad"),
         (F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(3)) == 0).alias("prune"))
     # rows that the base check rejects anyway need no rule
     labelled = written(table.where("not base_failed").select("doc_id", *FEATURES).join(
         known, "doc_id").select(*FEATURES, "bad", "prune"), "quality-labelled")
-    return table, learn(labelled)
+    return learn(labelled)
+
+
+def measured(counted: DataFrame, counts: str) -> DataFrame:
+    """doc_id, the features and base_failed of rows that carry their counts."""
+    c = F.col(counts)
+    return counted.select(F.col("doc_id").cast("bigint").alias("doc_id"), c.alias("c"),
+                          *[v.alias(f) for f, v in features(c).items()],
+                          base_failed(c).alias("base_failed"))
+
+
+def scored(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DecisionList]:
+    """The counts and features of all documents, written once, and the rules learned from
+    those with a quality label."""
+    table = written(measured(docs.select("doc_id", text_counts(F.col("text")).alias("c")), "c"),
+                    "quality-counts")
+    return table, learned(table, labels)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -259,9 +270,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` without those the base check or a rule rejects; all columns stay as they are."""
-    _, rules = scored(docs, labels)
+    """`docs` without those the base check or a rule rejects; all columns stay as they are.
+
+    Each text is counted once: documents and counts are written together.
+    """
     own = "__quality_counts"
-    counted = docs.withColumn(own, text_counts(F.col("text")))
+    while own.lower() in map(str.lower, docs.columns):
+        own += "_"
+    counted = written(docs.withColumn(own, text_counts(F.col("text"))), "quality-documents")
+    rules = learned(measured(counted, own), labels)
     number = rules.rule_number(features(F.col(own)))
     return counted.where(~base_failed(F.col(own)) & (number == 0)).drop(own)
