@@ -63,6 +63,7 @@ EVENT_COLUMNS = column_names(EVENT_DDL)
 ROUTED = ("bronze.transactions_raw", "silver.transactions", "quarantine.invalid_transactions",
           audit.RECONCILIATION, audit.HEALTH)
 PART = "CAST(substring(card_id, 6, 3) AS INT) % 3"
+DELIVERED = 16  # files of a delivery
 
 
 def land_events(v: Views, path: str) -> None:
@@ -253,13 +254,15 @@ SELECT {', '.join(EVENT_COLUMNS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {PART},
     ingestion_timestamp NULLS FIRST, {', '.join(c + ' NULLS FIRST' for c in EVENT_COLUMNS)}) AS nth FROM txn_clean) WHERE nth = 1""")
 def _(v):
-    """Duplicates across files, a file per micro-batch: the row that arrived first stays."""
+    """Duplicates across deliveries, the files of one per micro-batch: the row that arrived first
+    stays. Rows with the same id lie in one file of a delivery, so that its files have no order."""
     lake, where = new_lake(v, *ROUTED), run_dir(v.spark, "route")
     for part in range(3):
-        lake.append("bronze.transactions_raw", v.txn_raw.filter(f"{PART} = {part}").coalesce(1))
+        lake.append("bronze.transactions_raw", v.txn_raw.filter(f"{PART} = {part}").repartition(
+            DELIVERED, "transaction_id"))
     for _run in range(2):
         transactions_to_silver(
-            lake, lake.stream("bronze.transactions_raw", max_files=1, arrival=True),
+            lake, lake.stream("bronze.transactions_raw", max_files=DELIVERED, arrival=True),
             f"{where}/checkpoint")
     return lake.table("silver.transactions").select(*EVENT_COLUMNS)
 

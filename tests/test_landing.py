@@ -74,3 +74,22 @@ def test_tables_streams_and_seen_keys_are_written_small(spark, tables):
     assert codecs(f"{where}/out") == codecs(f"{lake.root}/silver") == {"ZSTD"}
     assert spark.table(table).count() == 50
 
+
+def test_a_delivery_is_no_single_task(spark, tables, monkeypatch):
+    seen, append = [], Lakehouse.append
+
+    def spy(lake, table, df, batch=None):
+        if table == "bronze.transactions_raw":
+            seen.append(df.select("transaction_id", F.spark_partition_id().alias("task")).collect())
+        append(lake, table, df, batch)
+
+    monkeypatch.setattr(Lakehouse, "append", spy)
+    ids = QUERIES["foreach_batch_router_small_batches"](spark, tables).select("transaction_id")
+    assert ids.count() == ids.distinct().count() > 0
+    assert len(seen) == 3
+    for rows in seen:
+        tasks = {}
+        for row in rows:
+            tasks.setdefault(row["transaction_id"], set()).add(row["task"])
+        assert len({row["task"] for row in rows}) > 1
+        assert all(len(found) == 1 for found in tasks.values())  # an id lies in one file
