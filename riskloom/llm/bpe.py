@@ -5,6 +5,8 @@ are taken greedily and checked against the pair-compatibility table, stepping ba
 neighbours could not stand side by side after all merges. Each position is given up at most once,
 so a piece takes linear time and gives exactly what applying the merges in order gives.
 Decoding: token bytes lie one after another in one buffer, and an offset table gathers them.
+Where ids alone are wanted, `RankEncoder` gives the same ids by tiktoken for byte-level files in
+which merging by the ranks of tokens and merging pair by pair are the same (`ranks_suffice`).
 
 Edge cases: a null or empty text has no tokens and decodes to the empty text. Strings of added
 tokens inside a text become those tokens, as in the tokenizers library. Rows are independent:
@@ -19,12 +21,14 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +105,15 @@ def _in_ranges(ranges: list[tuple[int, ...]]) -> re.Pattern:
     return re.compile("[" + "".join(f"{chr(r[0])}-{chr(r[1])}" for r in ranges) + "]")
 
 
+def _any_of(added: Iterable[str]) -> regex.Pattern:
+    return regex.compile("(" + "|".join(
+        regex.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+
+
+def _id_type(vocab: dict[str, int], added: dict[str, int]) -> str:
+    return "<u2" if max(chain(vocab.values(), added.values())) < 1 << 16 else "<u4"
+
+
 class Encoder:
     """A tokenizer file in memory: pieces, merges, pair compatibility, decoding."""
 
@@ -126,7 +139,7 @@ class Encoder:
         self.merged = {(rank[a], rank[b]): self.base + k for k, (a, b) in enumerate(merges)}
         self.left = [*range(self.base), *(rank[a] for a, _ in merges)]
         self.right = [*range(self.base), *(rank[b] for _, b in merges)]
-        texts = [symbols(token) for token in order]
+        self.texts = texts = [symbols(token) for token in order]
         self.length = [len(t) for t in texts]
         by_text = {t: r for r, t in enumerate(texts)}
         self.shorter = [
@@ -147,8 +160,7 @@ class Encoder:
         byte_symbol = _byte_symbols()
         self.to_symbols = {b: s for b, s in enumerate(byte_symbol)}
         self.added = {t["content"]: t["id"] for t in conf["added_tokens"]}
-        self.split_added = regex.compile("(" + "|".join(
-            regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
+        self.split_added = _any_of(self.added)
         self.pieces, self.space = self._pre_tokenizer(conf["pre_tokenizer"])
         self.has_newer = _in_ranges(NEWER)
         self.has_newer_capital = _in_ranges(NEWER_CAPITALS)
@@ -170,7 +182,7 @@ class Encoder:
         tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         to_byte = {s: b for b, s in enumerate(byte_symbol)}
         size = max(tokens) + 1
-        self.id_type = "<u2" if size <= 1 << 16 else "<u4"
+        self.id_type = _id_type(vocab, self.added)
         parts = []
         for i in range(size):
             token = tokens.get(i, "")
@@ -191,21 +203,24 @@ class Encoder:
         Goes back in time: undo the later of the two merges, and see whether the symbols that
         then met at the border would have merged earlier.
         """
-        key, limit, verdict = a * PAIR + b, len(self.ids), None
-        while verdict is None:
+        verdict = self.neighbours(a, b, len(self.ids))
+        if len(self.pairs) > CACHED_PAIRS:
+            self.pairs.clear()
+        self.pairs[a * PAIR + b] = verdict
+        return verdict
+
+    def neighbours(self, a: int, b: int, limit: int) -> bool:
+        """Whether tokens a and b can be neighbours once the merges before `limit` are done."""
+        while True:
             across = self.merged.get((a, b))
             if across is not None and across < limit:
-                verdict = False
-            elif max(a, b) < self.base:
-                verdict = True
-            elif a > b:
+                return False
+            if max(a, b) < self.base:
+                return True
+            if a > b:
                 limit, a = a, self.right[a]
             else:
                 limit, b = b + 1, self.left[b]  # of equal merges the left one comes first
-        if len(self.pairs) > CACHED_PAIRS:
-            self.pairs.clear()
-        self.pairs[key] = verdict
-        return verdict
 
     def merge_piece(self, symbols: str) -> list[int]:
         """Ids of one piece, given as symbols."""
@@ -408,22 +423,95 @@ class Encoder:
         return out.decode("utf-8", "replace").encode()
 
 
-_LOADED: dict[str, Encoder] = {}
+@lru_cache(maxsize=4)
+def ranks_suffice(spec: str) -> bool:
+    """Whether merging by rank of the joined token, as tiktoken does, gives the ids of a file.
+
+    It joins any two neighbours whose text is a token, and takes a piece that is a token whole. So
+    no two tokens but those of its merge may ever stand side by side where they spell a token, and
+    the two of its merge must do so.
+    """
+    conf = json.loads(spec)
+    split, model = conf["pre_tokenizer"] or {}, conf["model"]
+    if (split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]
+            or conf["normalizer"] is not None or model.get("end_of_word_suffix")
+            or model.get("continuing_subword_prefix") or model.get("ignore_merges")):
+        return False
+    e = Encoder(spec)
+    texts = list(e.texts)
+    if set(texts[:e.base]) != set(_byte_symbols()):
+        return False
+    rank = {t: r for r, t in enumerate(texts)}
+    for token in range(e.base, len(texts)):
+        for k in range(1, len(texts[token])):
+            a, b = rank.get(texts[token][:k]), rank.get(texts[token][k:])
+            if a is None or b is None:
+                continue
+            if (a, b) == (e.left[token], e.right[token]):
+                fits = max(a, b) < token and e.neighbours(a, b, token)
+            elif max(a, b) < token:
+                fits = not e.neighbours(a, b, token)
+            elif a > b:  # the later one is made beside the other
+                fits = not e.neighbours(e.right[a], b, a)
+            else:
+                fits = not e.neighbours(a, e.left[b], b + (a == b))
+            if not fits:
+                return False
+    return True
+
+
+class RankEncoder:
+    """Ids of whole texts by tiktoken, for files of which `ranks_suffice` holds."""
+
+    def __init__(self, spec: str):
+        conf = json.loads(spec)
+        vocab = conf["model"]["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in conf["model"]["merges"]]
+        to_byte = {s: b for b, s in enumerate(_byte_symbols())}
+        order = [*to_byte, *map("".join, merges)]
+        self.ids = np.array([vocab[t] for t in order], "<u4")
+        self.ranks = tiktoken.Encoding(
+            "ranks", pat_str=BYTE_LEVEL, special_tokens={},
+            mergeable_ranks={bytes(to_byte[s] for s in t): r for r, t in enumerate(order)})
+        self.added = {t["content"]: t["id"] for t in conf["added_tokens"]}
+        self.split_added = _any_of(self.added)
+        self.id_type = _id_type(vocab, self.added)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of a whole text."""
+        if not text:
+            return self.ids[:0]
+        if not any(t in text for t in self.added):
+            return self.ids[self.ranks.encode_to_numpy(text, disallowed_special=())]
+        return np.concatenate([
+            np.array([self.added[s]], "<u4") if s in self.added
+            else self.ids[self.ranks.encode_to_numpy(s, disallowed_special=())]
+            for s in self.split_added.split(text)])
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        return map(self.encode, texts)
+
+
+_LOADED: dict[tuple[str, type], Encoder | RankEncoder] = {}
 
 
 class SharedEncoder:
-    """The tokenizer file, broadcast (1-2 MB); each Python worker builds the encoder once."""
+    """The tokenizer file, broadcast (1-2 MB); each Python worker builds the encoder once.
+
+    `by_rank`: for ids alone, a `RankEncoder` if the file allows one.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, by_rank: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = f.read()
+        self.kind = RankEncoder if by_rank and ranks_suffice(spec) else Encoder
         self.key = hashlib.sha256(spec.encode()).hexdigest()
         self.spec = spark.sparkContext.broadcast(spec)
 
-    def get(self) -> Encoder:
-        if self.key not in _LOADED:
-            _LOADED[self.key] = Encoder(self.spec.value)
-        return _LOADED[self.key]
+    def get(self) -> Encoder | RankEncoder:
+        if (self.key, self.kind) not in _LOADED:
+            _LOADED[self.key, self.kind] = self.kind(self.spec.value)
+        return _LOADED[self.key, self.kind]
 
 
 def id_text(docs: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ SERIALS = 1 << 33  # rows a task may number
 def tokenised(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> DataFrame:
     """One row per document: doc_id, doc_tokens, the checksums of its full windows, the ids of
     its tail (unsigned, 2 bytes each where the vocabulary allows), and a number for dealing."""
-    shared = SharedEncoder(docs.sparkSession, tokenizer)
+    shared = SharedEncoder(docs.sparkSession, tokenizer, by_rank=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.get()
@@ -122,7 +122,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
     """
     encoded = written(tokenised(docs, tokenizer, window, end_id), "pack-tokens")
     shards = max(1, -(-encoded.count() // shard_docs))
-    id_bytes = 2 if SharedEncoder(docs.sparkSession, tokenizer).get().id_type == "<u2" else 4
+    shared = SharedEncoder(docs.sparkSession, tokenizer, by_rank=True)
+    id_bytes = 2 if shared.get().id_type == "<u2" else 4
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("serial", ignore_index=True)

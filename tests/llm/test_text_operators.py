@@ -1,9 +1,12 @@
 """Operators on single texts, against plain Python and the tokenizers library."""
 
 import hashlib
+import itertools
+import json
 import random
 import re
 import string
+import time
 import zlib
 from collections import Counter
 
@@ -87,6 +90,86 @@ def test_round_trip_query(request, docs):
         (r.doc_id, r.text or "") for r in docs.collect())  # byte-level: an exact round trip
 
 
+@pytest.fixture(scope="module")
+def by_rank():
+    with open(BYTE_FILE, encoding="utf-8") as f:
+        return bpe.RankEncoder(f.read()), Tokenizer.from_file(BYTE_FILE)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(
+    st.sampled_from("aeinorst '\n\t .,!0123456789\xe9\xc9\xdf\u03a3\u017f\xa0\u2003\x1c\x85\u65e5\U0001f642<|"),
+    st.characters(codec="utf-8")), max_size=60))
+def test_ids_by_rank_are_those_of_the_library(by_rank, text):
+    ours, theirs = by_rank
+    assert ours.encode(text).tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_by_rank_of_every_character_added_tokens_and_long_runs(by_rank):
+    ours, theirs = by_rank
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000
+              and (c < 0x3000 or c % 16 == 0 or any(a <= c <= b for a, b in bpe.NEWER))]
+    texts = [f"a{c}a 1{c}1 {c}  {c}! {c}{c}" for c in points]
+    texts += ["<|endoftext|>", "a<|endoftext|> b<|startoftext|>c", "", "don't we'll 's't",
+              "a" * 3000, "abab" * 500 + " " * 50, " " * 70_000 + "x", "\t \n" * 30_000,
+              "".join(random.Random(8).choices("abcd\xe90", k=50_000)), "\u65e5\u672c" * 9000]
+    for k in range(0, len(texts), 4096):
+        some = texts[k:k + 4096]
+        want = theirs.encode_batch(some, add_special_tokens=False)
+        for text, ids, found in zip(some, ours.encode_all(some), want, strict=True):
+            assert ids.tolist() == found.ids, text[:50]
+    assert ours.encode(None).tolist() == []
+
+
+def spec_of(merges):
+    """A byte-level file with some merges (pairs of tokens)."""
+    with open(BYTE_FILE, encoding="utf-8") as f:
+        conf = json.load(f)
+    order = [*bpe._byte_symbols(), *("".join(m) for m in merges)]
+    conf["model"] |= {"vocab": {t: i for i, t in enumerate(order)}, "merges": merges}
+    conf["added_tokens"] = []
+    return json.dumps(conf)
+
+
+@pytest.mark.parametrize("merges, suffice", [
+    ([["a", "b"], ["ab", "c"]], True),
+    ([["b", "c"], ["a", "b"], ["ab", "c"]], False),  # abc stands as a, bc: never joined
+    ([["a", "b"], ["c", "d"], ["b", "c"], ["a", "bc"]], False),  # its parts never meet
+    ([["a", "a"], ["aa", "a"]], True),
+    ([["a", "a"], ["a", "aa"]], False),  # aa, a stand there and spell it, a, aa don't
+])
+def test_ranks_serve_only_where_they_give_the_ids_of_the_merges(merges, suffice):
+    spec = spec_of(merges)
+    assert bpe.ranks_suffice(spec) == suffice
+    theirs = Tokenizer.from_str(spec)
+    texts = ["".join(x) for n in range(1, 7) for x in itertools.product("abcd", repeat=n)]
+    want = [x.ids for x in theirs.encode_batch(texts, add_special_tokens=False)]
+    found = [x.tolist() for x in bpe.RankEncoder(spec).encode_all(texts)]
+    assert (found == want) == suffice
+
+
+def test_packing_encodes_by_rank_where_that_is_exact(spark, tmp_path):
+    """Over twice as fast on words not seen before, as many words of large corpora are."""
+    shared = bpe.SharedEncoder(spark, BYTE_FILE, by_rank=True)
+    assert isinstance(shared.get(), bpe.RankEncoder)
+    assert type(bpe.SharedEncoder(spark, BYTE_FILE).get()) is bpe.Encoder
+    assert type(bpe.SharedEncoder(spark, WORD_FILE, by_rank=True).get()) is bpe.Encoder
+    other = tmp_path / "other.json"
+    other.write_text(spec_of([["b", "c"], ["a", "b"], ["ab", "c"]]), encoding="utf-8")
+    assert type(bpe.SharedEncoder(spark, str(other), by_rank=True).get()) is bpe.Encoder
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choices(string.ascii_lowercase, k=8)) for _ in range(1000))
+             for _ in range(60)]
+    took = []
+    for kind in (bpe.RankEncoder, bpe.Encoder):
+        with open(BYTE_FILE, encoding="utf-8") as f:
+            encoder = kind(f.read())
+        start = time.process_time()
+        n = sum(map(len, encoder.encode_all(texts)))
+        took.append((n, time.process_time() - start))
+    assert took[0][0] == took[1][0] and 2 * took[0][1] < took[1][1]
+
+
 @pytest.mark.parametrize("docs", ["edge", "small", "empty"])
 def test_packing_places_every_id_once(request, docs):
     docs = request.getfixturevalue(docs)
