@@ -26,7 +26,7 @@ from riskloom.sources import compaction
 from riskloom.sources.events import parse_events, read_event_files
 from riskloom.sources.files import scan_csv
 from riskloom.sources.registry import SOURCES
-from riskloom.sources.tables import Lakehouse
+from riskloom.sources.tables import COMPRESSION, Lakehouse
 from riskloom.streaming.loads import ingest_events, load_files, transactions_to_silver
 from riskloom.streaming.sinks import append_stream, append_to_table, finish, late_rows
 from riskloom.streaming.stateful import dedup_stream, interval_join_stream
@@ -66,11 +66,12 @@ PART = "CAST(substring(card_id, 6, 3) AS INT) % 3"
 DELIVERED = 16  # files of a delivery
 
 
-def land_events(v: Views, path: str) -> None:
-    """Events as bus lines; cards ending in 7 send text that is no JSON."""
+def land_events(v: Views, path: str, feed: DataFrame | None = None) -> None:
+    """Events as bus lines; cards ending in 7 send text that is no JSON. `feed` has the rows of
+    `txn_raw` where they are written already."""
     payload = F.when(F.substring("card_id", -1, 1) == "7", F.lit("{broken")).otherwise(
         F.to_json(F.struct(*EVENT_COLUMNS)))
-    v.txn_raw.select(
+    (v.txn_raw if feed is None else feed).select(
         F.crc32("card_id").alias("offset"), payload.alias("value")
     ).write.options(**LANDED).json(path)
 
@@ -122,14 +123,17 @@ FROM (SELECT coalesce(transaction_id IS NULL OR customer_id IS NULL OR card_id I
   OR channel IS NULL OR transaction_status IS NULL OR coalesce(TRY_CAST(amount AS DOUBLE) <= 0, FALSE)
   OR upper(trim(currency)) NOT IN ('CAD', 'USD', 'EUR', 'GBP'), TRUE) AS bad FROM txn_raw)""")
 def _(v):
-    """All five sources; transactions come as events first and as files into the same table."""
+    """All five sources; transactions come as events first and as files into the same table. Both
+    land from one copy of the feed, so that its tables are joined once."""
     lake, where = new_lake(v), run_dir(v.spark, "feeds")
-    land_events(v, f"{where}/events")
+    v.txn_raw.select(*EVENT_COLUMNS).write.option("compression", COMPRESSION).parquet(f"{where}/txn")
+    txn_raw = v.spark.read.parquet(f"{where}/txn")
+    land_events(v, f"{where}/events", txn_raw)
     finish(ingest_events(lake, read_event_files(v.spark, f"{where}/events"), f"{where}/bus"))
     feeds = {
         "customers": v.cust_feed.select(*CUSTOMER_COLUMNS),
         "exchange_rates": v.fx.select(*RATE_COLUMNS),
-        "transactions": v.txn_raw.select(*EVENT_COLUMNS),
+        "transactions": txn_raw.select(*EVENT_COLUMNS),
         "merchants": v.merch_raw.select(*MERCHANT_COLUMNS),
         "fraud_alerts": v.alerts_raw.select(*ALERT_COLUMNS),
     }

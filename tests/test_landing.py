@@ -93,3 +93,58 @@ def test_a_delivery_is_no_single_task(spark, tables, monkeypatch):
             tasks.setdefault(row["transaction_id"], set()).add(row["task"])
         assert len({row["task"] for row in rows}) > 1
         assert all(len(found) == 1 for found in tasks.values())  # an id lies in one file
+
+
+@pytest.fixture(scope="module")
+def five_sources(spark, tmp_path_factory):
+    """Tables of all five sources; keys repeat, so that the join of lines and orders adds rows."""
+    where = str(tmp_path_factory.mktemp("five"))
+    day = F.timestamp_add(
+        "DAY", F.col("id").cast("int") % 50, F.lit("2024-01-01").cast("timestamp_ntz"))
+    tables = {
+        "lineitem": spark.range(4000).select(
+            (F.col("id") % 2000).alias("l_orderkey"), F.lit(1).alias("l_linenumber"),
+            (F.col("id") * 7).alias("l_partkey"), (F.col("id") % 100).alias("l_suppkey"),
+            (F.col("id") * 20.0).alias("l_extendedprice"), day.alias("l_shipdate"),
+            F.lit("N").alias("l_returnflag")),
+        "orders": spark.range(2100).select(
+            (F.col("id") % 2000).alias("o_orderkey"), (F.col("id") % 50).alias("o_custkey"),
+            F.when(F.col("id") % 3 == 0, "F").when(F.col("id") % 3 == 1, "P").alias("o_orderstatus"),
+            (F.col("id") * 200.0).alias("o_totalprice"), day.alias("o_orderdate")),
+        "customer": spark.range(50).select(
+            F.col("id").alias("c_custkey"), F.lit("name").alias("c_name"),
+            F.lit(1).alias("c_nationkey")),
+        "nation": spark.sql("SELECT 1 AS n_nationkey, 'CANADA' AS n_name"),
+        "supplier": spark.range(40).select(
+            F.col("id").alias("s_suppkey"), F.lit("shop").alias("s_name"),
+            F.lit(1).alias("s_nationkey"), (F.col("id") * 300.0).alias("s_acctbal")),
+        "events": spark.range(300).select(
+            F.col("id").alias("event_id"), day.alias("ts"), (F.col("id") % 50).alias("user_id"),
+            F.lit("error").alias("event_type"), (F.col("id") % 120.0).alias("value")),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{where}/{name}.parquet")
+    return where
+
+
+def test_metadata_driven_load_joins_its_feed_once_and_loads_every_row(
+        spark, five_sources, monkeypatch):
+    joined, plain = [], Views.__getattr__
+
+    def spy(v, name):
+        joined.append(name)
+        return plain(v, name)
+
+    monkeypatch.setattr(Views, "__getattr__", spy)
+    rows = QUERIES["metadata_driven_load"](spark, five_sources).collect()
+    assert joined.count("txn_raw") == 1
+    monkeypatch.undo()
+    counts = {r.source: (r.loaded, r.rejected) for r in rows}
+    v = Views(spark, five_sources)
+    feeds = {"customers": v.cust_feed, "exchange_rates": v.fx, "merchants": v.merch_raw,
+             "fraud_alerts": v.alerts_raw, "transactions": v.txn_raw}
+    landed = {name: feed.count() for name, feed in feeds.items()}
+    assert landed["transactions"] == 4200
+    landed["transactions"] *= 2  # as events and as files
+    assert {name: sum(n) for name, n in counts.items()} == landed
+    assert all(counts[name][1] for name in ("customers", "merchants", "fraud_alerts", "transactions"))
