@@ -26,6 +26,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,7 @@ HEAVY_LIMIT = 1_000_000   # frequent shingles put last, at most; bounds the broa
                           # with it only the speed, as any order gives the same links
 TILE_BLOCK = 1024         # members of a tile, and of a family, that make a block: a task compares
 FAMILY_BLOCK = 128        # two of them
+SLICE = 500               # rows of a batch that are held as Python objects at a time
 SERIALS = 1 << 33         # rows a task may number
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -176,6 +178,26 @@ def by_shingles(arrays: list[np.ndarray]) -> Members:
     return Members(sizes, shared)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches`, few at a time: texts and arrays of a whole batch would take several
+    times its size beside it."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            yield batch.slice(k, SLICE)
+
+
+def often(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that occur `least` times or more, and how often. Sorts `values` in place; beside it,
+    only a bit mask is as long."""
+    values.sort()
+    if len(values) < least:
+        return values[:0], np.zeros(0, np.int64)
+    # in sorted order, such a value stands `least` - 1 places further too
+    found = np.unique(values[:len(values) - least + 1][values[least - 1:]
+                                                        == values[:len(values) - least + 1]])
+    return found, np.searchsorted(values, found, "right") - np.searchsorted(values, found)
+
+
 def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     got = [b for b in batches if b.num_rows]
     return pa.Table.from_batches(got).combine_chunks() if got else None
@@ -199,13 +221,12 @@ def frequent_shingles(docs: DataFrame, share: float = 0.001, least: int = 100) -
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
-            values, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= max(4, len(held) * share)
+            found, n = often(np.concatenate(held), max(4, ceil(len(held) * share)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(values[often].view(np.int64)), pa.array(n[often])], ["shingle", "n"])
+                [pa.array(found.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
-        for batch in batches:
-            for text in batch.column(1).to_pylist():
+        for rows in _slices(batches):
+            for text in rows.column(1).to_pylist():
                 held.append(shingles(text))
                 size += len(held[-1])
                 if size >= CHUNK:
@@ -234,9 +255,9 @@ def shingle_sets(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() * SERIALS
-        for batch in batches:
+        for rows in _slices(batches):
             n, fp, maps, anchors, ends = [], [], [], [], [0]
-            for text in batch.column(1).to_pylist():
+            for text in rows.column(1).to_pylist():
                 values = shingles(text)
                 last = _in_sorted(values, shared.value)
                 ordered = np.concatenate([values[~last], values[last]])
@@ -250,7 +271,7 @@ def shingle_sets(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
             serials = pa.array(np.arange(serial, serial + len(n)))
             serial += len(n)
             yield pa.RecordBatch.from_arrays(
-                [serials, batch.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
+                [serials, rows.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
                  pa.array(maps, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                           pa.array(flat.view(np.int64)))],
@@ -335,14 +356,14 @@ def shingle_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         "family", "k", "node", "fp", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp, text = batch.column("fp").to_pylist(), batch.column("text").to_pylist()
+        for rows in _slices(batches):
+            fp, text = rows.column("fp").to_pylist(), rows.column("text").to_pylist()
             sets = [shingles(t) for t in text]
             # a doc_id may be repeated with another text
             keep = pa.array([xxhash.xxh3_128_digest(v) == f
                              for v, f in zip(sets, fp, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("family"), batch.column("k"), batch.column("node"),
+                [rows.column("family"), rows.column("k"), rows.column("node"),
                  pa.array([len(v) for v in sets], pa.int64()),
                  pa.array([v.tobytes() for v in sets], pa.binary())],
                 ["family", "k", "node", "n", "shingles"]).filter(keep)

@@ -5,10 +5,12 @@ import re
 import subprocess
 import sys
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -81,6 +83,34 @@ def test_chain_star_and_shared_passage(spark, monkeypatch):
     assert found_groups(docs) == near_groups(rows)
 
 
+@pytest.mark.parametrize("least", [1, 4, 7, 50_000])
+def test_frequent_values_are_found_in_place(least):
+    draw = np.random.default_rng(5)
+    values = np.concatenate([draw.integers(0, 1 << 63, 40_000), draw.integers(0, 900, 4_000)])
+    values = values.astype(np.uint64)
+    expected, n = np.unique(values, return_counts=True)
+    found, counts = jaccard_join.often(values, least)
+    assert found.tolist() == expected[n >= least].tolist()
+    assert counts.tolist() == n[n >= least].tolist()
+
+
+def test_frequent_values_take_little_memory():
+    values = np.random.default_rng(6).integers(0, 1 << 63, 1 << 20).astype(np.uint64)
+    tracemalloc.start()
+    jaccard_join.often(values, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # numpy's own counting takes several times the values
+    assert peak < values.nbytes / 2
+
+
+def test_batches_are_taken_in_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_201))], ["doc_id"])
+    slices = list(jaccard_join._slices(iter([batch, batch.slice(0, 0), batch.slice(7, 1)])))
+    assert max(x.num_rows for x in slices) <= jaccard_join.SLICE
+    assert sum((x.column(0).to_pylist() for x in slices), []) == [*range(1_201), 7]
+
+
 def test_bitmaps_bound_the_overlap():
     draw = np.random.default_rng(0)
     for _ in range(200):
