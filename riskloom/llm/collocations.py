@@ -162,8 +162,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[Blo
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    """lang and text, in no more parts than tasks run at once: each task counts most of the
+    frequent phrases again, so with a task per split of the input, rows would grow with the number
+    of splits times that of phrases."""
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).coalesce(
+        docs.sparkSession.sparkContext.defaultParallelism)
 
 
 def frequent_slots(docs: DataFrame, least: int, slots: int = SLOTS,

@@ -186,6 +186,17 @@ def test_counters_too_few_change_no_result(spark):
     assert rows_of(collocations.phrase_counts(docs, least=5, slots=64)) == plenty
 
 
+def test_windows_of_many_splits_are_counted_together(spark):
+    texts = [" ".join(f"w{(i + k) % 40}" for k in range(60)) for i in range(320)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(64)
+    counted = collocations.count_windows(docs, 5, 100, 1 << 12).collect()
+    distinct = len({(r["lang"], r["gram"]) for r in counted})
+    assert len(counted) <= distinct * spark.sparkContext.defaultParallelism
+    # every position begins one window
+    assert sum(r["n"] for r in counted if r["gram"]) == sum(len(t.split()) for t in texts)
+
+
 # --- source mixing
 
 def brute_targets(size):
