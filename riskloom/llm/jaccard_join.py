@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.bpe import id_text
 from riskloom.llm.components import components
-from riskloom.llm.scratch import written
+from riskloom.llm.scratch import SLICE, few_rows, written  # noqa: F401
+from riskloom.llm.scratch import slices as _slices
 from riskloom.operators.bounded import broadcast_if_small
 
 WORDS = 5
@@ -48,7 +49,6 @@ HEAVY_LIMIT = 1_000_000   # frequent shingles put last, at most; bounds the broa
                           # with it only the speed, as any order gives the same links
 TILE_BLOCK = 1024         # members of a tile, and of a family, that make a block: a task compares
 FAMILY_BLOCK = 128        # two of them
-SLICE = 500               # rows of a batch that are held as Python objects at a time
 SERIALS = 1 << 33         # rows a task may number
 
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -178,14 +178,6 @@ def by_shingles(arrays: list[np.ndarray]) -> Members:
     return Members(sizes, shared)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of `batches`, few at a time: texts and arrays of a whole batch would take several
-    times its size beside it."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, SLICE):
-            yield batch.slice(k, SLICE)
-
-
 def often(values: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Values that occur `least` times or more, and how often. Sorts `values` in place; beside it,
     only a bit mask is as long."""
@@ -218,20 +210,23 @@ def frequent_shingles(docs: DataFrame, share: float = 0.001, least: int = 100) -
     Counted in chunks of documents; a chunk passes on what is frequent within it, so little moves.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, texts = np.empty(CHUNK, np.uint64), 0, 0
 
         def counted() -> pa.RecordBatch:
-            found, n = often(np.concatenate(held), max(4, ceil(len(held) * share)))
+            found, n = often(held[:size], max(4, ceil(texts * share)))
             return pa.RecordBatch.from_arrays(
                 [pa.array(found.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
         for rows in _slices(batches):
             for text in rows.column(1).to_pylist():
-                held.append(shingles(text))
-                size += len(held[-1])
-                if size >= CHUNK:
+                values = shingles(text)
+                if size and size + len(values) > len(held):
                     yield counted()
-                    held, size = [], 0
+                    size = texts = 0
+                if len(values) > len(held):
+                    held = np.empty(len(values), np.uint64)
+                held[size:size + len(values)] = values
+                size, texts = size + len(values), texts + 1
         if size:
             yield counted()
 
@@ -373,24 +368,27 @@ def shingle_arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id; one row per document."""
-    sets = written(shingle_sets(docs, frequent_shingles(docs)), "near-sets")
+    with few_rows(docs.sparkSession):
+        sets = written(shingle_sets(docs, frequent_shingles(docs)), "near-sets")
     # the row with the smallest number stands for all rows of its class
     classes = written(sets.where("n > 0").groupBy("fp").agg(
         F.min("doc_id").alias("doc_id"), F.min("serial").alias("node")), "near-classes")
     own = sets.join(broadcast_if_small(classes.select("node")), F.col("serial") == F.col("node"))
     tiled = written(tiles(own.select("node", F.explode("anchors").alias("anchor"))), "near-tiles")
 
-    bounded = written(joining_pairs(block_pairs(
-        tiled.join(own.select("node", "n", "bitmap"), "node"), "tile", F.col("k"), TILE_BLOCK),
-        "tile", "bitmap"), "near-bounded")
+    with few_rows(docs.sparkSession):
+        bounded = written(joining_pairs(block_pairs(
+            tiled.join(own.select("node", "n", "bitmap"), "node"), "tile", F.col("k"), TILE_BLOCK),
+            "tile", "bitmap"), "near-bounded")
     families = written(components(bounded, "a", "b").withColumnRenamed("component", "family"),
                        "near-families")
     sizes = written(families.groupBy("family").agg(F.count("*").alias("k")), "near-sizes")
     wanted = written(classes.join(families, "node").join(broadcast_if_small(sizes), "family"),
                      "near-wanted")
-    links = written(joining_pairs(block_pairs(
-        shingle_arrays(docs, wanted), "family", F.col("k"), FAMILY_BLOCK),
-        "family", "shingles"), "near-links")
+    with few_rows(docs.sparkSession):
+        links = written(joining_pairs(block_pairs(
+            shingle_arrays(docs, wanted), "family", F.col("k"), FAMILY_BLOCK),
+            "family", "shingles"), "near-links")
     groups = written(components(links, "a", "b"), "near-groups")
 
     named = classes.join(groups, "node", "left").withColumn(

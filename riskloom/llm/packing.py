@@ -16,14 +16,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.bpe import SharedEncoder, id_text
-from riskloom.llm.scratch import written
+from riskloom.llm.scratch import few_rows, slices, written
 
 K1, B = 1.2, 0.75  # the usual BM25 saturation and length weight
 PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -39,7 +38,7 @@ def tokenised(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.get()
         serial = TaskContext.get().partitionId() * SERIALS
-        for batch in batches:
+        for batch in slices(batches):
             tokens, crcs, tails = [], [], []
             for ids in encoder.encode_all(batch.column(1).to_pylist()):
                 ids = np.append(ids, np.array([end_id], "<u4"))
@@ -120,23 +119,25 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
 
     The texts are read once; what moves is one row of at most `window` ids per document.
     """
-    encoded = written(tokenised(docs, tokenizer, window, end_id), "pack-tokens")
+    with few_rows(docs.sparkSession):
+        encoded = written(tokenised(docs, tokenizer, window, end_id), "pack-tokens")
     shards = max(1, -(-encoded.count() // shard_docs))
     shared = SharedEncoder(docs.sparkSession, tokenizer, by_rank=True)
     id_bytes = 2 if shared.get().id_type == "<u2" else 4
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("serial", ignore_index=True)
-        sequence = int(rows["shard"].iloc[0]) << 32
+    # as Arrow tables: pandas would stay in the memory of every Python worker
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("serial")
+        sequence = rows["shard"][0].as_py() << 32
         out = []
-        doc_ids, tokens = rows["doc_id"].tolist(), rows["doc_tokens"].tolist()
+        doc_ids, tokens = rows["doc_id"].to_pylist(), rows["doc_tokens"].to_pylist()
         starts = []
-        for doc, n, crcs in zip(doc_ids, tokens, rows["full_crcs"], strict=True):
+        for doc, n, crcs in zip(doc_ids, tokens, rows["full_crcs"].to_pylist(), strict=True):
             for k, crc in enumerate(crcs):
                 out.append((doc, k * window, window, crc, n, sequence, 0))
                 sequence += 1
             starts.append(len(crcs) * window)
-        tails = [np.frombuffer(t, f"<u{id_bytes}") for t in rows["tail"]]
+        tails = [np.frombuffer(t, f"<u{id_bytes}") for t in rows["tail"].to_pylist()]
         for pieces in fill_windows(tails, window):
             offset = 0
             for i, begin, end in pieces:
@@ -145,9 +146,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1,
                             sequence, offset))
                 offset += end - begin
             sequence += 1
-        frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32",
-                                           "doc_tokens", "sequence_id", "offset"])
-        return frame.astype({"doc_id": "Int64"})
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        return pa.table([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
 
     dealt = encoded.withColumn("shard", F.pmod(F.xxhash64("serial"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(run, PIECE)
+    return dealt.groupBy("shard").applyInArrow(run, PIECE)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.bpe import id_text
-from riskloom.llm.scratch import written
+from riskloom.llm.scratch import few_rows, slices, written
 
 # fixed values: the base patterns
 ASSIGN = re.compile(
@@ -172,7 +172,7 @@ def scan(docs: DataFrame) -> DataFrame:
     known = learn_words(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 base, spans = all_spans(text or "", known)
@@ -201,13 +201,16 @@ def redacted(text: str, mark: str, words_known: str = "") -> str:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """`docs` with every span replaced by `mark`; n_chars follows the text, other columns stay."""
+    """`docs` with every span replaced by `mark`; n_chars follows the text, other columns stay.
+
+    Written here: only a run that starts here can send few rows at a time.
+    """
     names = docs.columns
     known = learn_words(docs)
     whole = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns = list(batch.columns)
             at = names.index("text")
             texts = columns[at].to_pylist()
@@ -220,4 +223,5 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                      zip(columns[k].to_pylist(), texts, clean, strict=True)], columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, whole)
+    with few_rows(docs.sparkSession):
+        return written(docs.mapInArrow(run, whole), "redacted")

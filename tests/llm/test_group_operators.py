@@ -8,13 +8,15 @@ import textwrap
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from unittest import mock
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from riskloom.llm import ann, jaccard_join, license_scan, sharding
+from riskloom.llm import ann, jaccard_join, license_scan, packing, scratch, secret_scan, sharding
 from riskloom.llm.components import components
 from tests.compare import connect, difference
 from tests.llm.conftest import words
@@ -111,6 +113,76 @@ def test_batches_are_taken_in_slices():
     assert sum((x.column(0).to_pylist() for x in slices), []) == [*range(1_201), 7]
 
 
+def test_few_rows_are_sent_at_a_time(spark):
+    def sent():
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["rows"])
+
+        return [r.rows for r in spark.range(0, 1_201, 1, 1).mapInArrow(run, "rows long").collect()]
+
+    usual = spark.conf.get(scratch.BATCH_ROWS)
+    assert sent() == [1_201]
+    with pytest.raises(KeyError), scratch.few_rows(spark):
+        assert max(sent()) <= scratch.SLICE and sum(sent()) == 1_201
+        raise KeyError
+    assert spark.conf.get(scratch.BATCH_ROWS) == usual
+    try:
+        spark.conf.set(scratch.BATCH_ROWS, 7)
+        with scratch.few_rows(spark):
+            assert max(sent()) == 7
+    finally:
+        spark.conf.set(scratch.BATCH_ROWS, usual)
+
+
+def test_texts_and_sets_go_to_workers_in_few_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, words(1, 30)) for k in range(3)], "doc_id long, text string")
+    rows = {}
+
+    def noted(df, label):
+        rows[label] = int(spark.conf.get(scratch.BATCH_ROWS))
+        return scratch.written(df, label)
+
+    monkeypatch.setattr(jaccard_join, "written", noted)
+    monkeypatch.setattr(packing, "written", noted)
+    monkeypatch.setattr(secret_scan, "written", noted)
+    usual = spark.conf.get(scratch.BATCH_ROWS)
+    assert jaccard_join.near_groups(docs).count() == 3
+    assert secret_scan.redact(docs).count() == 3
+    packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    for label in ("near-sets", "near-bounded", "near-links", "redacted", "pack-tokens"):
+        assert rows[label] <= scratch.SLICE
+    assert spark.conf.get(scratch.BATCH_ROWS) == usual
+
+
+def test_redaction_and_tokens_hold_few_rows(spark, monkeypatch):
+    """What the operators yield for one large batch is no larger than a slice."""
+    docs = spark.range(0, 1_201, 1, 1).selectExpr("id AS doc_id", "'password: abcdefgh' AS text")
+    parts = []
+
+    class Noted:
+        columns, schema, sparkSession = docs.columns, docs.schema, spark
+
+        def mapInArrow(self, run, schema):
+            parts.append(run)
+
+        def select(self, *columns):
+            return self
+
+    monkeypatch.setattr(secret_scan, "learn_words", lambda docs: "")
+    monkeypatch.setattr(secret_scan, "written", lambda df, label: df)
+    monkeypatch.setattr(packing, "id_text", lambda docs: docs)
+    monkeypatch.setattr(packing, "TaskContext", mock.Mock(**{
+        "get.return_value.partitionId.return_value": 0}))
+    secret_scan.redact(Noted())
+    packing.tokenised(Noted(), public_tokenizers.path("byte_bpe_50k.json"), 2048, 1)
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in docs.collect()])
+    for run in parts:
+        out = list(run(iter([batch])))
+        assert max(b.num_rows for b in out) <= scratch.SLICE
+        assert sum((b.column("doc_id").to_pylist() for b in out), []) == [*range(1_201)]
+
+
 def test_bitmaps_bound_the_overlap():
     draw = np.random.default_rng(0)
     for _ in range(200):
