@@ -3,14 +3,19 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from riskloom.operators import rules
-from riskloom.session import run_dir
+from riskloom.plans import gold
+from riskloom.session import STATE_CONF, run_dir
 from riskloom.sources.events import bus_options, parse_events, read_event_files
+from riskloom.sources.seen import SeenKeys
 from riskloom.sources.tables import Lakehouse, batch_label
 from riskloom.streaming import loads
-from riskloom.streaming.sinks import append_stream, finish, route_batches, late_rows
+from riskloom.streaming.sinks import (
+    append_stream, finish, late_rows, route_batches, state_on_disk,
+)
 from riskloom.streaming.stateful import dedup_stream, interval_join_stream
 
 T0 = datetime(2026, 5, 30, 10, 0)
@@ -265,3 +270,54 @@ def test_scratch_folder_must_be_shared_on_a_cluster(spark):
     assert run_dir(Session("local[2]", None), "a") != run_dir(Session("local[2]", None), "a")
     with pytest.raises(RuntimeError):
         run_dir(Session("spark://m:7077", None), "a")
+
+
+@pytest.fixture
+def plain_state(spark):
+    """The session without settings of its own for state, as Spark starts it."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k in STATE_CONF:
+        spark.conf.unset(k)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_state_and_batches_of_alert_matches_lie_on_disk(spark, lake, tmp_path, plain_state,
+                                                        monkeypatch):
+    held, among = [], SeenKeys.among
+
+    def watched(self, batch, label):
+        held.append((batch.storageLevel, {k: batch.sparkSession.conf.get(k) for k in STATE_CONF}))
+        return among(self, batch, label)
+
+    monkeypatch.setattr(SeenKeys, "among", watched)
+    lake.append("silver.transactions", spark.createDataFrame(
+        [(f"T{k}", f"C{k}", T0 + timedelta(hours=k)) for k in range(6)],
+        "transaction_id string, customer_id string, transaction_timestamp timestamp"))
+    lake.append("bronze.fraud_alerts_raw", spark.createDataFrame(
+        [(f"A{k}", f"C{k}", "M1", "error", "HIGH", T0 + timedelta(hours=k, minutes=5))
+         for k in (1, 5)],
+        "alert_id string, customer_id string, merchant_id string, alert_type string, "
+        "alert_severity string, alert_timestamp timestamp"))
+    gold.follow_alert_matches(lake, str(tmp_path / "cp"))
+    # T4's window ends at the watermark, so it waits
+    assert sorted(tuple(r) for r in lake.table("gold.transactions_with_fraud_alerts").select(
+        "transaction_id", F.coalesce("alert_id", F.lit(""))).collect()) == [
+        ("T0", ""), ("T1", "A1"), ("T2", ""), ("T3", ""), ("T5", "A5")]
+    offsets = (tmp_path / "cp" / "offsets" / "0").read_text().splitlines()
+    begun = json.loads(offsets[1])["conf"]
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    assert begun[provider] == STATE_CONF[provider]
+    assert held and all(h == (StorageLevel.DISK_ONLY, STATE_CONF) for h in held)
+    assert all(spark.conf.get(k, None) is None for k in STATE_CONF)
+
+
+def test_settings_of_the_session_for_state_stay(spark, plain_state):
+    size = "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+    spark.conf.set(size, "999")
+    with pytest.raises(KeyError), state_on_disk(spark):
+        assert {k: spark.conf.get(k) for k in STATE_CONF} == STATE_CONF | {size: "999"}
+        raise KeyError
+    assert {k: spark.conf.get(k, None) for k in STATE_CONF} == dict.fromkeys(STATE_CONF) | {
+        size: "999"}
