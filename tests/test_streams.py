@@ -12,7 +12,7 @@ from riskloom.session import STATE_CONF, run_dir
 from riskloom.sources.events import bus_options, parse_events, read_event_files
 from riskloom.sources.seen import SeenKeys
 from riskloom.sources.tables import Lakehouse, batch_label
-from riskloom.streaming import loads
+from riskloom.streaming import loads, sinks
 from riskloom.streaming.sinks import (
     append_stream, finish, late_rows, route_batches, state_on_disk,
 )
@@ -285,10 +285,14 @@ def plain_state(spark):
 
 def test_state_and_batches_of_alert_matches_lie_on_disk(spark, lake, tmp_path, plain_state,
                                                         monkeypatch):
-    held, among = [], SeenKeys.among
+    held, among, wide = [], SeenKeys.among, spark.conf.get(sinks.PARTITIONS)
+    monkeypatch.setattr(sinks, "STATES", 0)
+    monkeypatch.setattr(sinks, "LEAST_STATES", 2)
 
     def watched(self, batch, label):
-        held.append((batch.storageLevel, {k: batch.sparkSession.conf.get(k) for k in STATE_CONF}))
+        held.append((batch.storageLevel, {k: batch.sparkSession.conf.get(k) for k in STATE_CONF},
+                     batch.sparkSession.conf.get(sinks.PARTITIONS),
+                     self.spark.conf.get(sinks.PARTITIONS)))
         return among(self, batch, label)
 
     monkeypatch.setattr(SeenKeys, "among", watched)
@@ -308,8 +312,10 @@ def test_state_and_batches_of_alert_matches_lie_on_disk(spark, lake, tmp_path, p
     offsets = (tmp_path / "cp" / "offsets" / "0").read_text().splitlines()
     begun = json.loads(offsets[1])["conf"]
     provider = "spark.sql.streaming.stateStore.providerClass"
-    assert begun[provider] == STATE_CONF[provider]
-    assert held and all(h == (StorageLevel.DISK_ONLY, STATE_CONF) for h in held)
+    assert begun[provider] == STATE_CONF[provider] and begun[sinks.PARTITIONS] == "2" < wide
+    assert len(held) == 2
+    assert all(h == (StorageLevel.DISK_ONLY, STATE_CONF, wide, wide) for h in held)
+    assert spark.conf.get(sinks.PARTITIONS) == wide
     assert all(spark.conf.get(k, None) is None for k in STATE_CONF)
 
 
